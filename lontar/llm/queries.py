@@ -15,6 +15,12 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.op8(table(spark, folder, "documents"))
 
 
+def op9_mixing_to_weights(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import mixing
+
+    return mixing.op9(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
