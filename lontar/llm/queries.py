@@ -9,6 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from lontar.sources.tables import table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import sentencepieces
+
+    return sentencepieces.op2(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import secrets
 
@@ -21,6 +34,12 @@ def op9_mixing_to_weights(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.op9(table(spark, folder, "documents"))
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import tokenfiles
+
+    return tokenfiles.op10(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), 2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
