@@ -22,6 +22,12 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.op2(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import minhash
+
+    return minhash.op6(table(spark, folder, "documents"))
+
+
 def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import secrets
 
