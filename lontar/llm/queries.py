@@ -16,12 +16,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import lines
+
+    return lines.op1(table(spark, folder, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import sentencepieces
 
     return sentencepieces.op2(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import toxicity
+
+    return toxicity.op4(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import minhash
 
@@ -52,4 +64,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from lontar.llm import lines
+
+    return {"op1_line_dedup": lines.ORACLE}
