@@ -34,6 +34,12 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.op4(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import substrings
+
+    return substrings.op5(table(spark, folder, "documents"))
+
+
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import minhash
 
