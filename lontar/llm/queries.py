@@ -28,6 +28,12 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.op2(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import vectors
+
+    return vectors.op3(table(spark, folder, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import toxicity
 
@@ -46,6 +52,12 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.op6(table(spark, folder, "documents"))
 
 
+def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    from lontar.llm import vectors
+
+    return vectors.op7(table(spark, folder, "embeddings"))
+
+
 def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     from lontar.llm import secrets
 
