@@ -121,6 +121,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, b
     return out.join(s, F.col("o.source").eqNullSafe(F.col("s.source"))).select("o.doc_id", "o.source", "o.size", "s.source_size", "s.target", "o.taken")
 
 
+def mixed_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them: ``taken / size`` times, rounded up or down by a hash of the
+    doc_id so that the mean is kept. Documents without words go. Rows that share a doc_id share the mean of their
+    shares."""
+    share = mix(docs, seed=seed).where("size > 0").groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share")).alias("m")
+    d = docs.alias("d")
+    spread = F.pmod(F.xxhash64(F.lit(seed), "d.doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    joined = d.join(share.hint("merge"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))).withColumn("copies", F.floor(F.col("share") + spread).cast("int"))
+    many = joined.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return many.select(*[f"d.`{c}`" for c in docs.columns])
+
+
 def op9(docs: DataFrame) -> DataFrame:
     """The columns of the contract."""
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -76,9 +76,15 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.op10(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), 2)
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
-    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0]))) | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
