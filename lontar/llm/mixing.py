@@ -99,7 +99,7 @@ def placed(sizes: DataFrame) -> DataFrame:
     tops = sizes.where("size > 0").groupBy("source", F.pmod(F.xxhash64("doc_id", "size"), F.lit(chunks)).alias("chunk")).agg(F.sum("size").alias("words"))
     tops = tops.withColumn("before", F.coalesce(F.sum("words").over(outer), F.lit(0)))
     a, b = rows.alias("a"), tops.alias("b")
-    joined = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.chunk") == F.col("b.chunk")))
+    joined = a.join(b.hint("merge"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.chunk") == F.col("b.chunk")))
     return joined.select("a.doc_id", "a.source", "a.size", (F.col("a.start") + F.col("b.before")).alias("start"))
 
 
@@ -113,7 +113,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, b
     pieces = rows.withColumn("block", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
     pieces = pieces.withColumn("words", F.least((F.col("block") + 1) * block_words, end) - F.greatest(F.col("block") * block_words, F.col("start")))
     p, u = pieces.alias("p"), uses.alias("u")
-    taken = p.join(u, F.col("p.source").eqNullSafe(F.col("u.source")) & (F.col("p.block") == F.col("u.block")), "left")
+    # The plan that the slots come from is a few rows, so Spark takes them for a table to broadcast; they grow with the words.
+    taken = p.join(u.hint("merge"), F.col("p.source").eqNullSafe(F.col("u.source")) & (F.col("p.block") == F.col("u.block")), "left")
     taken = taken.groupBy("p.doc_id", "p.source", "p.start", "p.size").agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
     none = sizes.where("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken"))
     out = taken.select("doc_id", "source", "size", "taken").unionByName(none).alias("o")
