@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the host whose pages the crawl accepts.
 HOST = "putusan3.mahkamahagung.go.id"
@@ -61,7 +62,7 @@ def sanitized(name: Column, fallback: str = "putusan", suffix: str = ".pdf") ->
     return F.when(F.lower(safe).endswith(suffix), safe).otherwise(F.concat(safe, F.lit(suffix)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def resolved(base: pd.Series, href: pd.Series) -> pd.Series:
     """A link resolved against its page, by the rules of RFC 3986 as the standard library has them."""
     return pd.Series([None if h is None else urljoin(b or "", h) for b, h in zip(base, href, strict=True)])

@@ -7,6 +7,7 @@ import random
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lontar.functions.text import accuracy, compact, error_rate, squeezed, words
 
@@ -29,7 +30,7 @@ def overlap(a: Column, b: Column) -> Column:
     return F.aggregate(F.transform(kinds, lambda w: F.least(n(a, w), n(b, w))), F.lit(0), lambda s, x: s + x)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """1 - (insertions and deletions) / (both lengths); 1 for two empty texts. Bit-parallel longest common subsequence,
     a whole row of the table in one integer."""

@@ -10,7 +10,7 @@ from lontar.operators import clean, logs
 from lontar.plans.registry import query
 from lontar.sources.tables import table
 
-FAILED = F.lit("error")
+FAILED = "error"
 
 #: The clean text of a document by the default cleaner, where none of its furniture occurs: lines stripped on the right,
 #: blank runs as one line, edges stripped.
