@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Java and Python pattern of one word: a run of anything but space, tab, line ends, vertical tab and form feed.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,8 +38,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    return df[name].cast(kind) if name in df.columns else F.lit(None).cast(kind)
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object] = lambda: None) -> object:
+    """The one object that this Python worker keeps between tasks. Workers serve one operator after another, so asking
+    for another name lets go of what the last operator kept."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

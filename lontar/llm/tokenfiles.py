@@ -24,7 +24,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +32,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import partitions, shared_dir, slices
+from lontar.llm.common import held, partitions, shared_dir, slices
 
 MAGIC = b"LTK1"
 HEAD = struct.Struct("<4sHHIQQ")
 BLOCK = 4096
 IMAGE_IDS = 1 << 20
-CACHE = 250_000
+CACHE = 500_000
 #: Marks the key of a text's first piece, before which no space stands; texts that hold it are encoded whole.
 FIRST = "\x00"
+#: Marks the key of a piece with white space at an edge, which the quick cut must not find.
+EDGE = "\x00\x01"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_UNCLEAR = re.compile(r" \s|\s |^ | $")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -106,6 +106,12 @@ class Image:
         return np.concatenate([self.block_ids(b) for b in range(len(self.offsets) - 1)]) if self.n_ids else np.zeros(0, np.uint32)
 
 
+def raw_piece(key: str) -> str:
+    """The text that a cache key stands for."""
+    key = key.removeprefix(EDGE)
+    return key[1:] if key[:1] == FIRST else " " + key
+
+
 class Encoder:
     """Texts to little-endian 32-bit ids, by way of pieces that are encoded once."""
 
@@ -118,46 +124,63 @@ class Encoder:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cache, self.old = {}, {}
 
-    def fill(self, pieces: set[str]) -> None:
+    def fill(self, missing: list[str]) -> None:
+        """Encodes the pieces that neither generation of the cache holds."""
         cache, old = self.cache, self.old
-        missing = []
-        for p in pieces:
-            if p not in cache:
-                found = old.get(p)
-                if found is None:
-                    missing.append(p)
-                else:
-                    cache[p] = found
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            for p, e in zip(some, self.library.encode_batch_fast([p[1:] if p[:1] == FIRST else " " + p for p in some], add_special_tokens=False), strict=True):
-                cache[p] = np.array(e.ids, "<u4").tobytes()
+        new = []
+        for p in dict.fromkeys(missing):
+            if (found := old.get(p)) is None:
+                new.append(p)
+            else:
+                cache[p] = found
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            for p, e in zip(some, self.library.encode_batch_fast([raw_piece(p) for p in some], add_special_tokens=False), strict=True):
+                ids = e.ids
+                cache[p] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut: list[list[str]] = []
-        whole: set[int] = set()
+        """The ids of each text. Pieces that begin or end with white space, or are empty, are never in the cache: a text
+        that has one is cut again by the full rule."""
+        get, added = self.cache.get, self.added
+        out: list[bytes | None] = [None] * len(texts)
+        waiting: list[tuple[int, list[str], list[bytes | None]]] = []
+        missing: list[str] = []
         for k, text in enumerate(texts):
-            text = text or ""
-            if FIRST in text or any(a in text for a in self.added):
-                whole.add(k)
-                cut.append([])
+            if not text:
+                out[k] = b""
+                continue
+            if FIRST in text or any(a in text for a in added):
+                ids = self.library.encode(text, add_special_tokens=False).ids
+                out[k] = struct.pack(f"<{len(ids)}I", *ids)
                 continue
-            pieces = (_CUT.split(text) if _UNCLEAR.search(text) else text.split(" ")) if text else []
-            if pieces:
-                pieces[0] = FIRST + pieces[0]
-            cut.append(pieces)
-        self.fill(set().union(*cut) if cut else set())
+            pieces = text.split(" ")
+            first = pieces[0]
+            pieces[0] = FIRST + first
+            found = list(map(get, pieces))
+            if None in found:
+                absent = [p for p, v in zip(pieces, found, strict=True) if v is None]
+                if not first or first[-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in absent):
+                    pieces = _CUT.split(text)
+                    pieces = [EDGE * (p[0].isspace() or p[-1].isspace()) + (p if k2 else FIRST + p) for k2, p in enumerate(pieces)]
+                    found = list(map(get, pieces))
+                    absent = [p for p, v in zip(pieces, found, strict=True) if v is None]
+                missing += absent
+                waiting.append((k, pieces, found))
+            else:
+                out[k] = b"".join(found)
+        self.fill(missing)
         get = self.cache.__getitem__
-        out = [np.array(self.library.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes() if k in whole else b"".join(map(get, p)) for k, p in enumerate(cut)]
+        for k, pieces, found in waiting:
+            out[k] = b"".join([get(p) if v is None else v for p, v in zip(pieces, found, strict=True)])
         if len(self.cache) > CACHE:
             self.old, self.cache = self.cache, {}
         return out
 
 
-@lru_cache(1)
 def encoder_of(path: str) -> Encoder:
     """The encoder of this worker process, with the pieces it has met."""
-    return Encoder(path)
+    return held(f"tokenizer {path}", lambda: Encoder(path))
 
 
 _FILES = "shard int, part int, n_docs long, n_ids long, before long, image binary"
@@ -172,11 +195,11 @@ def token_images(docs: DataFrame, tokenizer: str, end_id: int, shards: int | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, part, before = encoder_of(tokenizer), TaskContext.get().partitionId(), 0, 0
         bits, end = bits_for(max(encoder.vocabulary, end_id + 1)), np.array([end_id], "<u4").tobytes()
-        ids, counts, data, held = [], [], [], 0
+        ids, counts, data, filled = [], [], [], 0
 
         def row() -> pa.RecordBatch:
             body = image(ids, counts, np.frombuffer(b"".join(data), "<u4"), bits)
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int32()), (part, pa.int32()), (len(ids), pa.int64()), (held, pa.int64()), (before, pa.int64()), (body, pa.binary()))], names=["shard", "part", "n_docs", "n_ids", "before", "image"])
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int32()), (part, pa.int32()), (len(ids), pa.int64()), (filled, pa.int64()), (before, pa.int64()), (body, pa.binary()))], names=["shard", "part", "n_docs", "n_ids", "before", "image"])
 
         for batch in batches:
             for some in slices(batch, "text"):
@@ -184,11 +207,11 @@ def token_images(docs: DataFrame, tokenizer: str, end_id: int, shards: int | Non
                     ids.append(doc)
                     data += (found, end)
                     counts.append(len(found) // 4 + 1)
-                    held += counts[-1]
-                    if held >= IMAGE_IDS:
+                    filled += counts[-1]
+                    if filled >= IMAGE_IDS:
                         yield row()
-                        part, before = part + 1, before + held
-                        ids, counts, data, held = [], [], [], 0
+                        part, before = part + 1, before + filled
+                        ids, counts, data, filled = [], [], [], 0
         if ids:
             yield row()
 
