@@ -19,7 +19,8 @@ from pyspark.sql.window import Window
 from lontar.llm.common import checkpoint, mix, partitions
 from lontar.llm.components import components
 
-PIVOTS, NEAREST, SHARED = 256, 8, 3
+PIVOTS, NEAREST, SHARED = 256, 9, 3
+APART = 0.9
 COSINE = 0.98
 
 TABLES, PROJECTIONS, WIDTH, PROBES = 8, 4, 1.5, 16
@@ -53,11 +54,23 @@ def sample(rows: DataFrame, n: int, *key: str) -> np.ndarray:
     return np.array([r["embedding"] for r in found], dtype=np.float64)
 
 
+def reference_points(found: np.ndarray, width: int, n: int = PIVOTS, seed: int = 5) -> np.ndarray:
+    """``n`` unit vectors: up to half of them from the sample, no two within cosine ``APART`` (many points in one dense
+    group would rank at random and share nothing), the rest random directions."""
+    unit = found / np.linalg.norm(found, axis=1)[:, None]
+    chosen: list[np.ndarray] = []
+    for x in unit:
+        if len(chosen) < n // 2 and (not chosen or (np.array(chosen) @ x).max() < APART):
+            chosen.append(x)
+    rest = np.random.default_rng(seed).normal(size=(n - len(chosen), width))
+    return np.concatenate([np.array(chosen).reshape(-1, width), rest / np.linalg.norm(rest, axis=1)[:, None]])
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors(vec_id, embedding, label)``.
 
-    Pivot-permutation index: each vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points, a
-    bounded sample. Inverted lists are kept for triples of pivots, so two vectors meet in a list as soon as they share
+    Pivot-permutation index: each vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points, from a
+    bounded sample and at random. Inverted lists are kept for triples of pivots, so two vectors meet in a list as soon as they share
     ``SHARED`` pivots, and a list is far shorter than one of a single pivot. A pair counts in the first of its lists
     only; the shared count decides, then the cosine. Rows with equal vectors and labels are one entry of the index,
     and count as links of each other. Vectors without a label, and those that take no part, have no links and are
@@ -71,10 +84,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     alone = base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not width:
         return alone
-    pivots = sample(reps, PIVOTS, "k1", "k2")
-    pivots /= np.linalg.norm(pivots, axis=1)[:, None]
-    nearest = min(NEAREST, len(pivots))
-    shared = min(SHARED, len(pivots))
+    pivots = reference_points(sample(reps, SAMPLE, "k1", "k2"), width)
+    nearest, shared = NEAREST, SHARED
     triples = np.array(list(combinations(range(nearest), shared)))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
