@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, checkpoint, mix, partitions, slices, span_hash, words_of
+from lontar.llm.common import as_bytes, checkpoint, held, mix, partitions, slices, span_hash, words_of
 
 WINDOW = 35
 CONTEXT = 8
@@ -118,13 +118,14 @@ def anchors(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _packed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, k, base = pa.Codec("zstd", 1), 0, TaskContext.get().partitionId() << 32
+        held("substrings")
+        codec, k, base = pa.Codec("zstd", 3), 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, starts = as_bytes(part.column(1))
                 begin, end, first = words_of(raw, starts)
                 a, b, keys = anchors(span_hash(raw, begin, end), first)
-                row = (base + k, part.column(0).to_pylist(), starts.tobytes(), codec.compress(raw.tobytes(), asbytes=True), len(raw), a.astype(np.int32).tobytes(), (b - a).astype(np.int32).tobytes(), keys.tobytes())
+                row = (base + k, part.column(0).to_pylist(), starts.tobytes(), codec.compress(raw.tobytes(), asbytes=True), len(raw), codec.compress(np.diff(a, prepend=0).astype(np.int32).tobytes(), asbytes=True), codec.compress((b - a).astype(np.int32).tobytes(), asbytes=True), keys.tobytes())
                 kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 k += 1
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=[x.split()[0] for x in _PACK.split(", ")])
@@ -199,9 +200,10 @@ class Pack:
         self.raw = np.frombuffer(pa.Codec("zstd").decompress(row["body"], row["raw"], asbytes=True), np.uint8) if row["raw"] else np.zeros(0, np.uint8)
         self.offsets = np.frombuffer(row["offsets"], np.int64)
         self.begin, self.end, self.first = words_of(self.raw, self.offsets)
-        start, extra, keys = np.frombuffer(row["first"], np.int32), np.frombuffer(row["last"], np.int32), np.frombuffer(row["keys"], np.uint64)
+        keys = np.frombuffer(row["keys"], np.uint64)
+        jump, extra = (np.frombuffer(pa.Codec("zstd").decompress(row[c], 4 * len(keys), asbytes=True), np.int32).astype(np.int64) if len(keys) else np.zeros(0, np.int64) for c in ("first", "last"))
         hot = Asked([keys], buckets).answered({x["bucket"]: x["bits"] for x in bits}) if len(keys) else np.zeros(0, bool)
-        start, n = start[hot].astype(np.int64), extra[hot].astype(np.int64) + 1
+        start, n = np.cumsum(jump)[hot], extra[hot] + 1
         self.windows = np.repeat(start - np.append(0, np.cumsum(n))[:-1], n) + np.arange(int(n.sum()))
 
     def fingerprints(self) -> list[np.ndarray]:
@@ -220,8 +222,9 @@ def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], co
     packs = checkpoint(_packed(docs))
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("substrings")
         for batch in batches:
-            for gid, a, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for gid, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if keys:
                     yield _blobs(gid, Asked([np.frombuffer(keys, np.uint64)], buckets))
 
@@ -230,9 +233,10 @@ def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], co
         return pa.RecordBatch.from_arrays([pa.array([gid] * len(found), pa.int64()), pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["gid", "bucket", "blob"])
 
     schema = "gid long, bucket int, blob binary"
-    known = checkpoint(_repeated(packs.select("gid", "first", "keys").mapInArrow(ask_anchors, schema), 1))
+    known = checkpoint(_repeated(packs.select("gid", "keys").mapInArrow(ask_anchors, schema), 1))
 
     def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("substrings")
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
@@ -240,11 +244,13 @@ def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], co
                 if len(pack.windows):
                     yield _blobs(row["gid"], Asked(pack.fingerprints(), buckets))
 
+    # Both uses below take every column of this join, so Spark shuffles the packs once.
     with_anchors = packs.join(known.withColumnRenamed("bits", "anchor_bits"), "gid", "left")
-    verified = _repeated(with_anchors.where("anchor_bits is not null").mapInArrow(ask_windows, schema), 2)
+    verified = _repeated(with_anchors.mapInArrow(ask_windows, schema), 2)
     both = with_anchors.join(verified.withColumnRenamed("bits", "window_bits"), "gid", "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("substrings")
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
