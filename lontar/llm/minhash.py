@@ -1,12 +1,13 @@
 """MinHash near-deduplication of documents by the Jaccard similarity of their word shingles.
 
-Rows with equal shingle sets are one node. Each node has ``BANDS * ROWS`` minima of universal hash functions; nodes
-that agree on all ``ROWS`` minima of a band share a bucket. Every node of a bucket is paired with the bucket's least
-node; pairs whose signatures agree too little are dropped (a limit far below the threshold, so no true link is lost),
-the others are compared on their full shingle sets. Alternating large-star and small-star gives components. Buckets
-that still hold nodes of more than one component then have every pair of nodes of different components compared, so a
-link that misses the least node is found too, while a large group of copies costs one pair for each of them. At the
-threshold of 0.85 a pair misses all bands with a chance of 1.2e-5.
+Rows with equal shingle sets are one node. Each node has ``HASHES`` minima of universal hash functions; nodes that agree
+on all ``ROWS`` minima of one of ``BANDS`` bands share a bucket. Every node of a bucket is paired with the bucket's most
+central node, that of the most company over all its buckets; pairs whose signatures (the last two bits of each minimum)
+agree too little are dropped (a limit far below the threshold, so no true link is lost), the others are compared on
+their full shingle sets. Alternating large-star and small-star gives components. Buckets that still hold nodes of more
+than one component then have all pairs of nodes of different components checked by signature inside the join, and those
+that pass compared on their full sets, so a link that misses the central node is found too, while a large group of
+copies costs one pair for each of them. At the threshold of 0.85 a pair misses all bands with a chance of 1.2e-5.
 
 Null and empty texts have no shingles and link with nothing. Texts of fewer than ``SHINGLE`` words have one shingle,
 the whole sequence. Rows that share a doc_id are one document. A row without doc_id links with nothing, and its
@@ -24,17 +25,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, checkpoint, lowered, mix, slices, span_hash, words_of
+from lontar.llm.common import as_bytes, checkpoint, held, lowered, mix, slices, span_hash, words_of
 from lontar.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 85
-BANDS, ROWS = 24, 6
+HASHES, BANDS, ROWS = 320, 24, 6
 _RNG = np.random.default_rng(20240601)
-_A = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-#: Agreeing minima below which a pair of the threshold's similarity falls with a chance of about 1e-8.
-LEAST_AGREEING = math.floor(BANDS * ROWS * THRESHOLD / 100 - 5.6 * math.sqrt(BANDS * ROWS * THRESHOLD / 100 * (1 - THRESHOLD / 100)))
+_A = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+_DIFFER = (1 - THRESHOLD / 100) * 3 / 4
+#: Differing bit pairs of two signatures, beyond which a pair of the threshold's similarity comes with a chance of about 1e-8.
+MOST_DIFFERING = math.ceil(HASHES * _DIFFER + 5.6 * math.sqrt(HASHES * _DIFFER * (1 - _DIFFER)))
 
 
 def shingle_sets(array: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -67,7 +69,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band of each signature."""
-    parts = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    parts = signatures[:, : BANDS * ROWS].reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), parts.shape[:2])
     for r in range(ROWS):
         key = mix(key ^ parts[:, :, r])
@@ -78,6 +80,7 @@ def features(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, digest, signature, bands`` of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("minhash")
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column(1))
@@ -87,37 +90,48 @@ def features(docs: DataFrame) -> DataFrame:
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in signatures], pa.binary()),
+                    pa.array(packed_bits(signatures).tolist(), pa.list_(pa.int64())),
                     pa.array([k.tolist() if len(s) else None for s, k in zip(sets, keys, strict=True)], pa.list_(pa.int64())),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "signature", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>")
 
 
-def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose signatures agree enough."""
+def packed_bits(signatures: np.ndarray) -> np.ndarray:
+    """The last two bits of each minimum, 32 of them in a 64-bit number."""
+    pairs = (signatures & np.uint32(3)).astype(np.uint64).reshape(len(signatures), -1, 32)
+    return (pairs << (2 * np.arange(32, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def differing(x: Column, y: Column) -> Column:
+    """In how many bit pairs two signatures differ."""
+    out = F.lit(0)
+    for k in range(HASHES // 32):
+        z = F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))
+        out = out + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = [int((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).sum()) >= LEAST_AGREEING for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
+def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose signatures agree enough."""
     sa = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
     sb = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(sb, "b").join(sa, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(sb, "b").join(sa, "a").where(differing(F.col("sa"), F.col("sb")) <= MOST_DIFFERING).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs that reach the threshold on their full shingle sets."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("minhash")
         for batch in batches:
             for part in slices(batch, "text"):
                 found = [s.tobytes() for s in shingle_sets(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in found], pa.binary()), pa.array(found, pa.binary())], names=["rep", "digest", "shingles"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("minhash")
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
@@ -141,24 +155,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = checkpoint(known.groupBy("digest").agg(F.min("doc_id").alias("rep")))
     nodes = checkpoint(known.withColumnRenamed("doc_id", "rep").join(reps, ["rep", "digest"]).select("rep", "digest", "signature", "bands").dropDuplicates(["rep", "digest"]))
 
-    entries = nodes.select(F.explode("bands").alias("key"), "rep")
-    shared = checkpoint(entries.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("n")).where("n > 1").select("key", "center"))
-    members = checkpoint(entries.join(shared, "key"))
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        return checkpoint(_confirmed(checkpoint(_agreeing(pairs, nodes)), docs, reps))
+    entries = nodes.select(F.posexplode("bands").alias("band", "key"), "rep")
+    shared = checkpoint(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    joined = checkpoint(entries.join(shared, "key"))
+    company = checkpoint(joined.groupBy("rep").agg(F.sum("n").alias("company")))
+    weighed = joined.join(company, "rep")
+    centers = checkpoint(weighed.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"))).alias("top")).select("key", (-F.col("top.rep")).alias("center")))
+    members = checkpoint(joined.join(centers, "key").select("key", "band", "rep", "center"))
 
-    tried = checkpoint(members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct())
-    links = links_of(tried)
+    tried = checkpoint(members.where("rep <> center").select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct())
+    links = checkpoint(_confirmed(checkpoint(_agreeing(tried, nodes)), docs, reps))
     found = checkpoint(components(links))
 
-    named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = checkpoint(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"))
-    left = checkpoint(named.join(mixed, "key", "left_semi"))
+    left = checkpoint(named.join(mixed, "key", "left_semi").join(nodes.select("rep", "signature", "bands"), "rep"))
     x, y = left.alias("x"), left.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")))
+    first_band = ~F.exists(F.sequence(F.lit(0), F.col("x.band")), lambda j: (j < F.col("x.band")) & (F.get("x.bands", j) == F.get("y.bands", j)))
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & (differing(F.col("x.signature"), F.col("y.signature")) <= MOST_DIFFERING) & first_band)
     pair = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = links_of(checkpoint(pair))
+    more = checkpoint(_confirmed(checkpoint(pair), docs, reps))
     if not more.isEmpty():
         found = checkpoint(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
 
