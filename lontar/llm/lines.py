@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lontar.llm.common import as_bytes, checkpoint, slices, span_hash
+from lontar.llm.common import as_bytes, checkpoint, held, slices, span_hash, text_batches
 
 WINDOW = 3
 _PLACE = ["doc", "t1", "t2"]
@@ -28,14 +28,12 @@ _PLACE = ["doc", "t1", "t2"]
 
 def line_bounds(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all lines, and the number of the first line of each text (with the end of all)."""
-    newline = np.flatnonzero(raw == 10)
-    begin = np.concatenate([starts[:-1], newline + 1])
-    end = np.concatenate([newline, starts[1:]])
-    doc = np.concatenate([np.arange(len(starts) - 1), np.searchsorted(starts[1:], newline, side="right")])
-    order = np.lexsort((begin, doc))
-    begin = begin[order]
-    end = np.sort(end) if not len(newline) else end[np.lexsort((end, np.concatenate([np.searchsorted(starts[1:], newline, side="right"), np.arange(len(starts) - 1)])))]
-    return begin, end, np.searchsorted(doc[order], np.arange(len(starts)))
+    newline, texts = np.flatnonzero(raw == 10), np.arange(len(starts) - 1)
+    of = np.searchsorted(starts[1:], newline, side="right")
+    begin, begin_of = np.concatenate([starts[:-1], newline + 1]), np.concatenate([texts, of])
+    end, end_of = np.concatenate([newline, starts[1:]]), np.concatenate([of, texts])
+    order = np.lexsort((begin, begin_of))
+    return begin[order], end[np.lexsort((end, end_of))], np.searchsorted(begin_of[order], np.arange(len(starts)))
 
 
 def window_hashes(array: pa.Array, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -66,9 +64,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines of repeated windows, with ``n_lines`` and ``n_removed``."""
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     kind = docs.schema["doc_id"].dataType
-    body = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2"), "text")
+    body = text_batches(docs).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2"), "text")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("lines")
         for batch in batches:
             for part in slices(batch, "text"):
                 doc, line, h1, h2 = window_hashes(part.column(3))
@@ -88,6 +87,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     at = kept.index("text")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("lines")
         for batch in batches:
             for part in slices(batch, "text"):
                 texts, n_lines, n_removed = [], [], []
