@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -39,12 +42,28 @@ def partitions(spark: SparkSession) -> int:
 
 
 _HELD: dict[str, object] = {}
+TEXTS_IN_BATCH = 512
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``TEXTS_IN_BATCH`` rows: whole texts are large rows, and batches
+    of the default 10,000 take tens of megabytes several times over in each task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= TEXTS_IN_BATCH:
+        conf.set(name, str(TEXTS_IN_BATCH))
+    return df
 
 
 def held(name: str, make: Callable[[], object] = lambda: None) -> object:
     """The one object that this Python worker keeps between tasks. Workers serve one operator after another, so asking
     for another name lets go of what the last operator kept."""
     if name not in _HELD:
+        if any(v is not None for v in _HELD.values()):
+            _HELD.clear()
+            gc.collect()
+            with contextlib.suppress(OSError, AttributeError):  # hands freed memory back, where the C library can
+                ctypes.CDLL(None).malloc_trim(0)
         _HELD.clear()
         _HELD[name] = make()
     return _HELD[name]

@@ -19,17 +19,16 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lontar.llm.common import slices
+from lontar.llm.common import held, slices, text_batches
 
 SPACE = "▁"
-CACHE = 250_000
+CACHE = 150_000
 SHORT = 40
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -136,10 +135,9 @@ class Chunks(dict):
             self.clear()
 
 
-@lru_cache(1)
 def chunks_of(model: str) -> Chunks:
     """The chunks that this worker process has met."""
-    return Chunks(Vocabulary(model))
+    return held(f"sentencepiece {model}", lambda: Chunks(Vocabulary(model)))
 
 
 def keys_of(text: str) -> list[str]:
@@ -184,7 +182,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string()), pa.array(wrong, pa.int64())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_corrected long")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_corrected long")
 
 
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
@@ -199,7 +197,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
                 found = list(encoded(part.column(kept.index(text)).to_pylist(), chunks))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.string())], names=[*kept, "ids", "decoded"])
 
-    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, out)
+    return text_batches(docs).select(*[f"`{c}`" for c in kept]).mapInArrow(run, out)
 
 
 def op2(docs: DataFrame, model: str) -> DataFrame:

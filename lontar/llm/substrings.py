@@ -11,7 +11,7 @@ first finds the anchors (with the ``CONTEXT`` words on both sides) that occur at
 second compares the windows of those anchors by 128-bit fingerprints of all their words, which verifies the repeats and
 leaves no chance find. Covered words go.
 
-Texts travel in packs of about 4 MB, compressed, with their anchors. What a pack asks goes to buckets of the key space
+Texts travel in packs of about 2 MB, compressed, with their anchors. What a pack asks goes to buckets of the key space
 as one array of distinct keys for each bucket, and what returns is one bit for each key. So a passage that one pack
 holds a million times is asked once, and a passage of all packs costs one key from each.
 
@@ -31,11 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, checkpoint, held, mix, partitions, slices, span_hash, words_of
+from lontar.llm.common import as_bytes, checkpoint, held, mix, partitions, slices, span_hash, text_batches, words_of
 
 WINDOW = 35
 CONTEXT = 8
 ROUNDS = 6
+PACK_BYTES = 2 << 20
 LONGEST = WINDOW - 2 * CONTEXT
 _K = np.uint64(0x9E3779B97F4A7C15)
 _PACK = "gid long, docs array<long>, offsets binary, body binary, raw long, first binary, last binary, keys binary"
@@ -121,7 +122,7 @@ def _packed(docs: DataFrame) -> DataFrame:
         held("substrings")
         codec, k, base = pa.Codec("zstd", 3), 0, TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PACK_BYTES):
                 raw, starts = as_bytes(part.column(1))
                 begin, end, first = words_of(raw, starts)
                 a, b, keys = anchors(span_hash(raw, begin, end), first)
@@ -219,7 +220,7 @@ class Pack:
 def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], columns: str, kinds: list[pa.DataType]) -> DataFrame:
     """``doc_id`` and what ``each(kept words joined by spaces, words, removed words)`` gives for each document."""
     buckets = partitions(docs.sparkSession)
-    packs = checkpoint(_packed(docs))
+    packs = checkpoint(_packed(text_batches(docs)))
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("substrings")

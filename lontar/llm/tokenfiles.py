@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import held, partitions, shared_dir, slices
+from lontar.llm.common import held, partitions, shared_dir, slices, text_batches
 
 MAGIC = b"LTK1"
 HEAD = struct.Struct("<4sHHIQQ")
@@ -190,7 +190,7 @@ def token_images(docs: DataFrame, tokenizer: str, end_id: int, shards: int | Non
     """One row for each file image, in ascending order of doc_id by ``(shard, part)``; ``before`` counts the ids of
     the shard's earlier images."""
     n = shards or partitions(docs.sparkSession)
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(n, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    ranged = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(n, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, part, before = encoder_of(tokenizer), TaskContext.get().partitionId(), 0, 0

@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lontar.llm.common import checkpoint, slices
+from lontar.llm.common import checkpoint, held, slices, text_batches
 
 TRAIN_ROWS = 10_000
 LEXICON_SIZE = 5_000
 LEAST_TEXTS = 5
 LEAST_ODDS = 2.0
+SLICE = 1 << 20
 TREES, DEPTH, RATE, BINS = 80, 3, 0.15, 32
 
 # Plain insults, and second-person words of the corpus's languages.
@@ -84,7 +85,7 @@ class Lexicon:
                 best = max(best, self.odds(c[0] - (own == 1), c[1] - (own == 0)))
         best = best if best >= LEAST_ODDS else 0.0
         if own is None:
-            if len(self._memo) > 300_000:
+            if len(self._memo) > 100_000:
                 self._memo.clear()
             self._memo[w] = best
         return best
@@ -224,12 +225,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     order = F.xxhash64("doc_id"), F.col("doc_id")
     # At most 2 * rows pairs of numbers, so their size is bounded by the parameter.
     some = known.where("toxic = 1").orderBy(*order).limit(rows).union(known.where("toxic = 0").orderBy(*order).limit(rows))
-    rows_in = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
+    rows_in = text_batches(docs).select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
     train = checkpoint(rows_in.select("doc_id", "toxic", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity")
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 toxic, clean = Counter(), Counter()
                 for label, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     (toxic if label else clean).update(units(set(_WORD.findall(text.lower()))))
@@ -248,8 +250,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     lexicon = Lexicon({r["unit"]: (r["a"], r["b"]) for r in top}, n_toxic, n_clean)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity")
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 labels_ = part.column(1).to_pylist()
                 x = [describe(t, lexicon, y) for t, y in zip(part.column(2).to_pylist(), labels_, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "toxic", "x"])
@@ -276,13 +279,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     out = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in kept], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity")
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 x = np.array([describe(t, model.lexicon) for t in part.column(at).to_pylist()])
                 s = np.clip(model.scores(x), 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, out)
+    return text_batches(docs).select(*[f"`{c}`" for c in kept]).mapInArrow(run, out)
 
 
 def op4(docs: DataFrame, labels: DataFrame) -> DataFrame:
