@@ -5,8 +5,8 @@ on all ``ROWS`` minima of one of ``BANDS`` bands share a bucket. Every node of a
 central node, that of the most company over all its buckets; pairs whose signatures (the last two bits of each minimum)
 agree too little are dropped (a limit far below the threshold, so no true link is lost), the others are compared on
 their full shingle sets. Alternating large-star and small-star gives components. Buckets that still hold nodes of more
-than one component then have all pairs of nodes of different components checked by signature inside the join, and those
-that pass compared on their full sets, so a link that misses the central node is found too, while a large group of
+than one component then have all pairs of nodes of different components checked by that and by a finer signature inside
+the join, and those that pass compared on their full sets, so a link that misses the central node is found too, while a large group of
 copies costs one pair for each of them. At the threshold of 0.85 a pair misses all bands with a chance of 1.2e-5.
 
 Null and empty texts have no shingles and link with nothing. Texts of fewer than ``SHINGLE`` words have one shingle,
@@ -25,18 +25,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, checkpoint, held, lowered, mix, slices, span_hash, words_of
+from lontar.llm.common import as_bytes, checkpoint, held, lowered, mix, slices, span_hash, text_batches, words_of
 from lontar.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 85
 HASHES, BANDS, ROWS = 320, 24, 6
+#: Hash functions of the finer signatures, for nodes that have to be told from many others.
+FINE = 1024
 _RNG = np.random.default_rng(20240601)
-_A = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-_DIFFER = (1 - THRESHOLD / 100) * 3 / 4
-#: Differing bit pairs of two signatures, beyond which a pair of the threshold's similarity comes with a chance of about 1e-8.
-MOST_DIFFERING = math.ceil(HASHES * _DIFFER + 5.6 * math.sqrt(HASHES * _DIFFER * (1 - _DIFFER)))
+_A = _RNG.integers(0, 1 << 63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, FINE, dtype=np.uint64)
+
+
+def most_differing(n: int) -> int:
+    """Differing bit pairs of two signatures of ``n`` hashes, beyond which a pair of the threshold's similarity comes
+    with a chance of about 1e-6."""
+    p = (1 - THRESHOLD / 100) * 3 / 4
+    return math.ceil(n * p + 4.7 * math.sqrt(n * p * (1 - p)))
 
 
 def shingle_sets(array: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -59,11 +65,11 @@ def shingle_sets(array: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The minima of all hash functions over one set."""
-    least = np.full(len(_A), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1024):
-        np.minimum(least, (shingles[at : at + 1024, None] * _A + _B).min(axis=0), out=least)
+def signature(shingles: np.ndarray, n: int = HASHES) -> np.ndarray:
+    """The minima of the first ``n`` hash functions over one set."""
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 512):
+        np.minimum(least, (shingles[at : at + 512, None] * _A[:n] + _B[:n]).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
@@ -95,7 +101,7 @@ def features(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "signature", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>")
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>")
 
 
 def packed_bits(signatures: np.ndarray) -> np.ndarray:
@@ -104,10 +110,10 @@ def packed_bits(signatures: np.ndarray) -> np.ndarray:
     return (pairs << (2 * np.arange(32, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
-def differing(x: Column, y: Column) -> Column:
-    """In how many bit pairs two signatures differ."""
+def differing(x: Column, y: Column, n: int = HASHES) -> Column:
+    """In how many bit pairs two signatures of ``n`` hashes differ."""
     out = F.lit(0)
-    for k in range(HASHES // 32):
+    for k in range(n // 32):
         z = F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))
         out = out + F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
     return out
@@ -117,7 +123,23 @@ def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose signatures agree enough."""
     sa = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
     sb = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(sb, "b").join(sa, "a").where(differing(F.col("sa"), F.col("sb")) <= MOST_DIFFERING).select("a", "b")
+    return pairs.join(sb, "b").join(sa, "a").where(differing(F.col("sa"), F.col("sb")) <= most_differing(HASHES)).select("a", "b")
+
+
+def _fine(nodes: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """``rep, fine``: the finer signatures of some nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("minhash")
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                sets = shingle_sets(part.column(1))
+                fine = packed_bits(np.stack([signature(s, FINE) for s in sets]))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array(fine.tolist(), pa.list_(pa.int64()))], names=["rep", "digest", "fine"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(nodes, "rep", "left_semi").select("rep", "text")
+    found = texts.mapInArrow(run, "rep long, digest binary, fine array<long>").join(reps.select("rep", "digest"), ["rep", "digest"], "left_semi")
+    return found.select("rep", "fine").dropDuplicates(["rep"])
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -169,10 +191,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = checkpoint(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"))
-    left = checkpoint(named.join(mixed, "key", "left_semi").join(nodes.select("rep", "signature", "bands"), "rep"))
+    apart = checkpoint(named.join(mixed, "key", "left_semi"))
+    fine = checkpoint(_fine(apart.select("rep").distinct(), docs, reps))
+    left = checkpoint(apart.join(nodes.select("rep", "signature", "bands"), "rep").join(fine, "rep"))
     x, y = left.alias("x"), left.alias("y")
     first_band = ~F.exists(F.sequence(F.lit(0), F.col("x.band")), lambda j: (j < F.col("x.band")) & (F.get("x.bands", j) == F.get("y.bands", j)))
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & (differing(F.col("x.signature"), F.col("y.signature")) <= MOST_DIFFERING) & first_band)
+    alike = (differing(F.col("x.signature"), F.col("y.signature")) <= most_differing(HASHES)) & (differing(F.col("x.fine"), F.col("y.fine"), FINE) <= most_differing(FINE))
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & alike & first_band)
     pair = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     more = checkpoint(_confirmed(checkpoint(pair), docs, reps))
     if not more.isEmpty():
