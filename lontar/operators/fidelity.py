@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,22 +14,68 @@ from pyspark.sql import types as T
 from lontar.functions.text import accuracy, compact, error_rate, squeezed, words
 
 
-def word_levenshtein(a: Column, b: Column) -> Column:
-    """Edits between two word arrays: every distinct word becomes one code point, outside the surrogates, and the
-    built-in character distance does the rest."""
-    vocabulary = F.array_distinct(F.concat(a, b))
-    start = F.map_from_arrays(vocabulary, F.sequence(F.lit(0), F.greatest(F.size(vocabulary) - 1, F.lit(0))))
-    point = lambda w: F.element_at(start, w)
-    char = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.when(point(w) < 30000, point(w) + 19968).otherwise(point(w) + 35536)), 8, "0")), "UTF-32")
-    coded = lambda x: F.array_join(F.transform(x, char), "")
-    return F.when(F.size(vocabulary) == 0, 0).otherwise(F.levenshtein(coded(a), coded(b)))
-
-
-def overlap(a: Column, b: Column) -> Column:
-    """The size of the multiset intersection of two word arrays."""
-    kinds = F.array_intersect(a, b)
-    n = lambda x, w: F.size(F.filter(x, lambda y: y == w))
-    return F.aggregate(F.transform(kinds, lambda w: F.least(n(a, w), n(b, w))), F.lit(0), lambda s, x: s + x)
+def _common(x: Sequence, y: Sequence) -> int:
+    """The length of the common beginning, by halves of slices."""
+    low, high = 0, min(len(x), len(y))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if x[low:mid] == y[low:mid] else (low, mid - 1)
+    return low
+
+
+def _trimmed(x: Sequence, y: Sequence) -> tuple[Sequence, Sequence]:
+    """Both without their common beginning and end, which change neither edits nor what is left out of a common
+    subsequence."""
+    low = _common(x, y)
+    x, y = x[low:], y[low:]
+    end = _common(x[::-1], y[::-1])
+    return x[: len(x) - end], y[: len(y) - end]
+
+
+def _places(x: Sequence) -> dict:
+    """The positions of each item as bits."""
+    at: dict = {}
+    for i, c in enumerate(x):
+        at.setdefault(c, []).append(i)
+    out = {}
+    for c, found in at.items():
+        bits = bytearray(found[-1] // 8 + 1)
+        for i in found:
+            bits[i >> 3] |= 1 << (i & 7)
+        out[c] = int.from_bytes(bits, "little")
+    return out
+
+
+def edits(x: Sequence, y: Sequence) -> int:
+    """The Levenshtein distance of two sequences. Bit-parallel (Myers, Hyyro), a whole column of the table in one
+    integer."""
+    x, y = _trimmed(x, y)
+    if not x or not y:
+        return len(x) + len(y)
+    places, full, top, out = _places(x), (1 << len(x)) - 1, len(x) - 1, len(x)
+    up, down = full, 0
+    for c in y:
+        same = places.get(c, 0)
+        zero = ((((same & up) + up) ^ up) | same | down) & full
+        more, less = (down | ~(zero | up)) & full, up & zero
+        out += (more >> top) - (less >> top)
+        more, less = (more << 1 | 1) & full, (less << 1) & full
+        up, down = (less | ~(zero | more)) & full, more & zero
+    return out
+
+
+@F.pandas_udf(T.IntegerType())
+def levenshtein(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Edits between two texts by character, in time that long texts allow."""
+    return pd.Series([edits(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+
+
+@F.pandas_udf(T.StructType([T.StructField("edits", T.IntegerType()), T.StructField("shared", T.IntegerType())]))
+def _by_words(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Edits between two word arrays, and the size of their multiset intersection."""
+    pairs = [(list(x), list(y)) for x, y in zip(a, b, strict=True)]
+    shared = [(Counter(x) & Counter(y)).total() for x, y in pairs]
+    return pd.DataFrame({"edits": [edits(x, y) for x, y in pairs], "shared": shared}, dtype="int32")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -38,16 +86,16 @@ def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(x: str, y: str) -> float:
         if not x and not y:
             return 1.0
-        places: dict[str, int] = {}
-        for i, c in enumerate(x):
-            places[c] = places.get(c, 0) | (1 << i)
+        total = len(x) + len(y)
+        x, y = _trimmed(x, y)
+        places = _places(x)
         full = (1 << len(x)) - 1
         row = full
         for c in y:
             hit = row & places.get(c, 0)
             row = ((row + hit) | (row - hit)) & full
         common = len(x) - row.bit_count()
-        return 1.0 - (len(x) + len(y) - 2 * common) / (len(x) + len(y))
+        return 1.0 - (len(x) + len(y) - 2 * common) / total
 
     return pd.Series([None if x is None or y is None else one(x, y) for x, y in zip(a, b, strict=True)])
 
@@ -57,16 +105,17 @@ def compared(pairs: DataFrame, primary: str = "primary", reference: str = "refer
     p, r = F.coalesce(primary, F.lit("")), F.coalesce(reference, F.lit(""))
     rows = pairs.withColumns({"_ps": squeezed(p), "_rs": squeezed(r), "_pc": compact(p), "_rc": compact(r), "_pw": words(p), "_rw": words(r)})
     rows = rows.withColumns({
-        "char_edits": F.levenshtein("_ps", "_rs"), "content_edits": F.levenshtein("_pc", "_rc"), "word_edits": word_levenshtein(F.col("_pw"), F.col("_rw")), "shared": overlap(F.col("_pw"), F.col("_rw")),
+        "char_edits": levenshtein("_ps", "_rs"), "content_edits": levenshtein("_pc", "_rc"), "_w": _by_words("_pw", "_rw"),
         "chars": F.length("_rs"), "content_chars": F.length("_rc"), "ref_words": F.size("_rw"), "pri_words": F.size("_pw"), "_pn": F.length("_ps"), "_pcn": F.length("_pc"),
     })
+    rows = rows.withColumns({"word_edits": F.col("_w.edits"), "shared": F.col("_w.shared")})
     precision = F.when(F.col("pri_words") == 0, (F.col("ref_words") == 0).cast("double")).otherwise(F.col("shared") / F.col("pri_words"))
     recall = F.when(F.col("ref_words") == 0, (F.col("pri_words") == 0).cast("double")).otherwise(F.col("shared") / F.col("ref_words"))
     rows = rows.withColumns({"cer": error_rate(F.col("char_edits"), F.col("chars"), F.col("_pn")), "content_cer": error_rate(F.col("content_edits"), F.col("content_chars"), F.col("_pcn")), "wer": error_rate(F.col("word_edits"), F.col("ref_words"), F.col("pri_words")), "token_precision": precision, "token_recall": recall})
     both = F.col("token_precision") + F.col("token_recall")
     rows = rows.withColumn("token_f1", F.when(both == 0, 0.0).otherwise(2 * F.col("token_precision") * F.col("token_recall") / both))
     rows = rows.withColumn("minimum_score", F.least(accuracy(F.col("content_cer")), F.col("token_recall")))
-    return rows.drop("_ps", "_rs", "_pc", "_rc", "_pw", "_rw", "_pn", "_pcn")
+    return rows.drop("_ps", "_rs", "_pc", "_rc", "_pw", "_rw", "_w", "_pn", "_pcn")
 
 
 def gate(pages: DataFrame, key: str, page: str, score: str, threshold: float) -> DataFrame:

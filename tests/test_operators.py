@@ -152,6 +152,43 @@ def test_fidelity_of_pairs(spark):
         assert sim[i] == pytest.approx(2 * common(p, r) / n if n else 1.0)
 
 
+def test_fidelity_queries_compare_whole_texts(spark, tmp_path):
+    import re
+    from collections import Counter
+
+    from lontar.plans import fidelity as plans
+
+    rng = random.Random(5)
+    texts = ["satu dua tiga empat lima\nenam tujuh", "é à ü ß und noch 日本 mehr", "a  b c d e", "a b  c d e", "kurz", "", "\nkata kata kata dua", " ".join(rng.choices(["satu", "dua", "é", "日"], k=200)), "x y z w " + "\n".join("kata" * 30 for _ in range(3))]
+    docs(spark, *texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = lambda f: {r.doc_id: r for r in f(spark, str(tmp_path)).collect()}
+    char, word, token, indel = map(rows, (plans.char_levenshtein, plans.word_error_rate, plans.token_overlap_f1, plans.indel_similarity))
+    assert len(char) == len(word) == len(token) == len(indel) == len(texts)
+    rates, edits, chars = [], 0, 0
+    for i, ref in enumerate(texts):
+        pri = re.sub(r"^((?:\S+ ){3})\S+ ", r"\1", ref)
+        fold = lambda x: " ".join(x.lower().replace("ß", "ss").split())
+        n, e = len(fold(ref)), levenshtein(fold(pri), fold(ref))
+        rates.append(e / n if n else 0.0)
+        edits, chars = edits + e, chars + n
+        assert (char[i].edits, char[i].cer) == (e, round(rates[-1], 9))
+        a, b = (re.findall(r"\w+", fold(x)) for x in (pri, ref))
+        assert (word[i].word_edits, word[i].ref_words) == (levenshtein(a, b), len(b))
+        assert token[i].shared == (Counter(a) & Counter(b)).total()
+        assert indel[i].similarity == pytest.approx(2 * len(pri) / (len(pri) + len(ref)) if ref else 1.0)  # the primary is a subsequence
+    corpus = plans.corpus_micro_macro(spark, str(tmp_path)).first()
+    assert (corpus.documents, corpus.micro, corpus.most) == (len(texts), round(edits / chars, 9), round(max(rates), 9))
+    assert corpus["mean"] == pytest.approx(statistics.mean(rates))
+
+
+def test_edits_of_sequences():
+    rng = random.Random(6)
+    for n in (3, 9, 70, 140):
+        for _ in range(60):
+            a, b = ("".join(rng.choices("abé日", k=rng.randint(0, n))) for _ in range(2))
+            assert fidelity.edits(a, b) == levenshtein(a, b) == fidelity.edits(list(a), list(b))
+
+
 def test_bootstraps_bracket_the_mean(spark):
     values = [float(x % 17) for x in range(200)]
     low, high = fidelity.exact_bootstrap(values, 200)
