@@ -70,11 +70,20 @@ def advantage(rows: DataFrame, group: str, reward: str) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, words: int = 13) -> DataFrame:
-    """``doc_id, item_id`` where a document holds a benchmark item's text: both are cut into word n-grams by hash, only
-    pairs that share the item's rarest n-gram are compared, by containment of the whole text."""
-    grams = lambda text: F.transform(F.sequence(F.lit(0), F.greatest(F.size(text) - words, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(text, i + 1, words), " ")))
+    """``doc_id, item_id`` where a document holds a benchmark item's text: only pairs that share one word n-gram of the
+    item, that of the least hash, are compared, by containment of the whole text. The n-gram leaves out the item's first
+    and last word, which the document may have glued to other characters; a short item's n-gram is all its inner words,
+    and items of one or two words are tested against every document."""
     split = lambda c: F.filter(F.split(c, r"[ \t\n\x0B\f\r]+"), lambda x: x != "")
-    i = items.select("item_id", F.col("text").alias("item_text"), F.array_min(grams(split(F.col("text")))).alias("gram"))
-    d = docs.select("doc_id", "text", F.explode(F.array_distinct(grams(split(F.col("text"))))).alias("gram"))
-    hits = d.select("doc_id", "gram").join(i, "gram")
-    return hits.join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("item_text"))).select("doc_id", "item_id").distinct()
+    gram = lambda ws, i, n: F.xxhash64(F.array_join(F.slice(ws, i + 1, n), " "))
+    i = items.where("text is not null").select("item_id", F.col("text").alias("item_text"), split(F.col("text")).alias("ws")).withColumn("n", F.least(F.size("ws") - 2, F.lit(words)))
+    long = i.where("n > 0")
+    g = long.select("item_id", "item_text", "n", F.array_min(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("n") - 1), lambda k: gram(F.col("ws"), k, F.col("n")))).alias("gram"))
+    lengths = F.broadcast(long.select("n").distinct())  # at most ``words`` rows
+    d = docs.select("doc_id", split(F.col("text")).alias("ws")).crossJoin(lengths).where(F.size("ws") >= F.col("n"))
+    d = d.select("doc_id", "n", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("ws") - F.col("n")), lambda k: gram(F.col("ws"), k, F.col("n"))))).alias("gram"))
+    hits = d.join(g, ["n", "gram"]).select("doc_id", "item_id", "item_text")
+    hits = hits.join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("item_text"))).select("doc_id", "item_id")
+    short = i.where("n <= 0").select("item_id", "item_text")
+    held = docs.select("doc_id", "text").join(short.hint("shuffle_replicate_nl"), F.contains("text", F.col("item_text"))).select("doc_id", "item_id")
+    return hits.union(held).distinct()

@@ -116,6 +116,16 @@ def test_exact_split_follows_the_seeded_shuffle(spark):
     assert {r.k: r.split for r in curate.exact_split(df, "g", "k").collect()} == want
 
 
+def test_contamination_equals_containment(spark):
+    rng = random.Random(7)
+    passage = lambda n: " ".join(rng.choices("abcdefghij", k=n))
+    items = [passage(n) for n in (1, 2, 3, 4, 12, 13, 14, 15, 16, 40) for _ in range(3)] + ["", " ", " a b", "a  b\nc d ", None]
+    texts = [f"x{i}{t}&&& {passage(3)}" for i, t in enumerate(items) if t] + [f"{passage(5)} {t} {passage(5)}" for t in items if t] + [passage(60), "a", "", None]
+    items_df = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted(map(tuple, curate.contaminated(docs(spark, *texts), items_df).collect()))
+    assert got == [(d, i) for d, text in enumerate(texts) for i, item in enumerate(items) if None not in (text, item) and item in text]
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
