@@ -1,13 +1,13 @@
 """MinHash near-deduplication of documents by the Jaccard similarity of their word shingles.
 
 Rows with equal shingle sets are one node. Each node has ``HASHES`` minima of universal hash functions; nodes that agree
-on all ``ROWS`` minima of one of ``BANDS`` bands share a bucket. Every node of a bucket is paired with the bucket's most
+on all ``ROWS`` minima of one of ``bands_for(threshold)`` bands share a bucket. Every node of a bucket is paired with the bucket's most
 central node, that of the most company over all its buckets; pairs whose signatures (the last two bits of each minimum)
 agree too little are dropped (a limit far below the threshold, so no true link is lost), the others are compared on
 their full shingle sets. Alternating large-star and small-star gives components. Buckets that still hold nodes of more
 than one component then have all pairs of nodes of different components checked by that and by a finer signature inside
 the join, and those that pass compared on their full sets, so a link that misses the central node is found too, while a large group of
-copies costs one pair for each of them. At the threshold of 0.85 a pair misses all bands with a chance of 1.2e-5.
+copies costs one pair for each of them. A pair at the threshold misses all bands with a chance of at most 1.2e-5.
 
 Null and empty texts have no shingles and link with nothing. Texts of fewer than ``SHINGLE`` words have one shingle,
 the whole sequence. Rows that share a doc_id are one document. A row without doc_id links with nothing, and its
@@ -29,8 +29,9 @@ from lontar.llm.common import as_bytes, checkpoint, held, lowered, mix, slices,
 from lontar.llm.components import components
 
 SHINGLE = 5
-THRESHOLD = 85
-HASHES, BANDS, ROWS = 320, 24, 6
+#: Least similarity of a link, in hundredths.
+THRESHOLD = 80
+HASHES, ROWS = 320, 6
 #: Hash functions of the finer signatures, for nodes that have to be told from many others.
 FINE = 1024
 _RNG = np.random.default_rng(20240601)
@@ -38,10 +39,18 @@ _A = _RNG.integers(0, 1 << 63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64
 _B = _RNG.integers(0, 1 << 63, FINE, dtype=np.uint64)
 
 
-def most_differing(n: int) -> int:
+def bands_for(threshold: int) -> int:
+    """How many bands miss a pair of the threshold's similarity with a chance of at most 1.2e-5."""
+    bands = math.ceil(math.log(1.2e-5) / math.log(1 - (threshold / 100) ** ROWS))
+    if bands * ROWS > HASHES:
+        raise ValueError(f"{HASHES} hashes are too few for a threshold of {threshold}")
+    return bands
+
+
+def most_differing(n: int, threshold: int = THRESHOLD) -> int:
     """Differing bit pairs of two signatures of ``n`` hashes, beyond which a pair of the threshold's similarity comes
     with a chance of about 1e-6."""
-    p = (1 - THRESHOLD / 100) * 3 / 4
+    p = (1 - threshold / 100) * 3 / 4
     return math.ceil(n * p + 4.7 * math.sqrt(n * p * (1 - p)))
 
 
@@ -73,17 +82,18 @@ def signature(shingles: np.ndarray, n: int = HASHES) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     """A 64-bit key for each band of each signature."""
-    parts = signatures[:, : BANDS * ROWS].reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), parts.shape[:2])
+    parts = signatures[:, : bands * ROWS].reshape(len(signatures), bands, ROWS).astype(np.uint64)
+    key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), parts.shape[:2])
     for r in range(ROWS):
         key = mix(key ^ parts[:, :, r])
     return key.view(np.int64)
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, digest, signature, bands`` of each document."""
+    bands = bands_for(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("minhash")
@@ -91,7 +101,7 @@ def features(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column(1))
                 signatures = np.stack([signature(s) for s in sets])
-                keys = band_keys(signatures)
+                keys = band_keys(signatures, bands)
                 columns = [
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
@@ -119,11 +129,11 @@ def differing(x: Column, y: Column, n: int = HASHES) -> Column:
     return out
 
 
-def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
     """The pairs ``(a, b)`` whose signatures agree enough."""
     sa = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
     sb = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(sb, "b").join(sa, "a").where(differing(F.col("sa"), F.col("sb")) <= most_differing(HASHES)).select("a", "b")
+    return pairs.join(sb, "b").join(sa, "a").where(differing(F.col("sa"), F.col("sb")) <= most_differing(HASHES, threshold)).select("a", "b")
 
 
 def _fine(nodes: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -142,7 +152,7 @@ def _fine(nodes: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     return found.select("rep", "fine").dropDuplicates(["rep"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
     """The pairs that reach the threshold on their full shingle sets."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +169,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
+                keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
@@ -170,9 +180,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(fb, "b").join(fa, "a").select("a", "b", "fa", "fb").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each document."""
-    rows = checkpoint(features(docs))
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each document; links from ``threshold`` hundredths on."""
+    rows = checkpoint(features(docs, threshold))
     known = rows.where("n_shingles > 0 and doc_id is not null")
     reps = checkpoint(known.groupBy("digest").agg(F.min("doc_id").alias("rep")))
     nodes = checkpoint(known.withColumnRenamed("doc_id", "rep").join(reps, ["rep", "digest"]).select("rep", "digest", "signature", "bands").dropDuplicates(["rep", "digest"]))
@@ -186,7 +196,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = checkpoint(joined.join(centers, "key").select("key", "band", "rep", "center"))
 
     tried = checkpoint(members.where("rep <> center").select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct())
-    links = checkpoint(_confirmed(checkpoint(_agreeing(tried, nodes)), docs, reps))
+    links = checkpoint(_confirmed(checkpoint(_agreeing(tried, nodes, threshold)), docs, reps, threshold))
     found = checkpoint(components(links))
 
     named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
@@ -196,10 +206,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     left = checkpoint(apart.join(nodes.select("rep", "signature", "bands"), "rep").join(fine, "rep"))
     x, y = left.alias("x"), left.alias("y")
     first_band = ~F.exists(F.sequence(F.lit(0), F.col("x.band")), lambda j: (j < F.col("x.band")) & (F.get("x.bands", j) == F.get("y.bands", j)))
-    alike = (differing(F.col("x.signature"), F.col("y.signature")) <= most_differing(HASHES)) & (differing(F.col("x.fine"), F.col("y.fine"), FINE) <= most_differing(FINE))
+    alike = (differing(F.col("x.signature"), F.col("y.signature")) <= most_differing(HASHES, threshold)) & (differing(F.col("x.fine"), F.col("y.fine"), FINE) <= most_differing(FINE, threshold))
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & alike & first_band)
     pair = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = checkpoint(_confirmed(checkpoint(pair), docs, reps))
+    more = checkpoint(_confirmed(checkpoint(pair), docs, reps, threshold))
     if not more.isEmpty():
         found = checkpoint(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
 
@@ -210,4 +220,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op6(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs)
+    return near_duplicates(docs, 85)

@@ -241,6 +241,21 @@ def test_minhash(spark):
     assert minhash.op6(df.where("false")).count() == 0
 
 
+def test_minhash_links_from_its_threshold_on(spark):
+    import corpus_pipeline as c
+
+    rng = random.Random(9)
+    texts = []
+    for n in (52, 54, 56, 58, 60, 62):  # one word of n changed: (n - 9) / (n + 1), 0.81 to 0.84
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts += [" ".join(base), " ".join([*base[:20], "x", *base[21:]])]
+    df = documents(spark, texts)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()} == {i: i - i % 2 for i in range(len(texts))}
+    assert all(r.kept for r in minhash.op6(df).collect())
+    assert sorted(r.doc_id for r in c.drop_near_copies(spark, df, "").collect()) == list(range(0, len(texts), 2))
+    assert minhash.bands_for(85) == 24 and (1 - 0.8**minhash.ROWS) ** minhash.bands_for(80) <= 1.2e-5
+
+
 def vectors_table(spark, rng, n=220):
     rows, base = [], rng.normal(size=(12, 16))
     for i in range(n):
