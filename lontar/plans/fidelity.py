@@ -91,8 +91,9 @@ n AS (SELECT b, v, (u >= 0.36787944117144233)::INT + (u >= 0.7357588823428847)::
 m AS (SELECT b, sum(n * v) / sum(n) AS mean FROM n GROUP BY b) SELECT round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.975), 6) AS high, count(*) AS resamples FROM m"""
 )
 def bootstrap_ci(spark: SparkSession, folder: str) -> DataFrame:
+    """Bounds of the mean length from the reference's 2000 resamples; the SQL draws the first 40 of them."""
     rows = table(spark, folder, "documents").select("doc_id", F.length("text").cast("double").alias("v"))
-    out = fidelity.hashed_bootstrap(rows, "doc_id", "v", 40, "lontar")
+    out = fidelity.hashed_bootstrap(rows, "doc_id", "v", 2000, "lontar")
     return out.select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "resamples")
 
 

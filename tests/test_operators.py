@@ -208,6 +208,25 @@ def test_bootstraps_bracket_the_mean(spark):
     assert r.low < statistics.mean(values) < r.high
 
 
+def test_bootstrap_query_draws_2000_resamples(spark, tmp_path):
+    import hashlib
+
+    from lontar.plans import fidelity as plans
+
+    texts = ["x" * (i * i % 37 + 1) for i in range(12)]
+    docs(spark, *texts).write.parquet(str(tmp_path / "documents.parquet"))
+    steps = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183)
+    means = []
+    for b in range(2000):
+        u = [int(hashlib.sha256(f"lontar:{b}:{i}".encode()).hexdigest()[:13], 16) / (1 << 52) for i in range(12)]
+        n = [sum(x >= s for s in steps) for x in u]
+        if sum(n):
+            means.append(sum(k * len(t) for k, t in zip(n, texts, strict=True)) / sum(n))
+    cuts = statistics.quantiles(means, n=40, method="inclusive")
+    r = plans.bootstrap_ci(spark, str(tmp_path)).first()
+    assert r.resamples == 2000 and (r.low, r.high) == (pytest.approx(cuts[0], abs=1e-5), pytest.approx(cuts[-1], abs=1e-5))
+
+
 def test_pages(spark):
     case = "https://putusan3.mahkamahagung.go.id/direktori/putusan/"
     page = f'<h1> </h1><h2>Judul</h2><a href="/x/page/9.html">2</a><a class="c" href="{case}a.html">A</a><p>ok</p><a href="{case}a.html">A lagi</a><a rel="next" href="/direktori/index/page/2.html">Next</a><a href="{case}z.html">kaki</a><b onclick="go(\'/direktori/download_file/1/pdf/q\')">x</b>'
