@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,16 +20,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BASES = (0xD1342543DE82EF95, 0x2545F4914F6CDD1D)
+_SEEDS = (np.uint64(0xD1342543DE82EF95), np.uint64(0x2545F4914F6CDD1D))
+_FACTORS = (np.uint64(0x9FB21C651E98DF27), np.uint64(0xD6E8FEB86659FD93))
+_STRIDE = 1 << 18
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``. Where that is unset: a temporary one in local mode, as in tests; on a
+    cluster an error, as executors don't share such a folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lontar-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -37,6 +46,52 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/lontar-{name}-{uuid.uuid4().hex}"
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended already
+            _delete(spark, path)
+
+    atexit.register(remove)
+    return path
+
+
+class Shelf:
+    """Tables that an operator writes to the shared folder on its way: lost executors do not lose them, lineage ends at
+    them, joins know their true sizes, and a table that nothing reads any more is deleted. Shuffle files of a write go
+    as soon as it has ended."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.paths = spark, scratch(spark, name), []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        conf, path = self.spark.conf, f"{self.root}/{len(self.paths)}"
+        before = conf.get(_CLEANUP, None) if conf.isModifiable(_CLEANUP) else None
+        try:
+            if before is not None:
+                conf.set(_CLEANUP, "true")
+            df.write.parquet(path)
+        finally:
+            if before is not None:
+                conf.set(_CLEANUP, before)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((table, path))
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables; what is still to be computed must not read them."""
+        for table, path in self.paths:
+            if any(table is t for t in tables):
+                _delete(self.spark, path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -102,29 +157,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse, grown as needed."""
+def _keys(place: np.ndarray, which: int) -> np.ndarray:
+    """A pseudorandom 64-bit key for each place in a span; those of the first places come from a table."""
+    if len(place) and int(place.max()) >= len(_TABLES[which]):
+        return mix(place.astype(np.uint64) * _STEP + _SEEDS[which])
+    return _TABLES[which][place]
+
+
+_TABLES = tuple(mix(np.arange(1 << 12, dtype=np.uint64) * _STEP + seed) for seed in _SEEDS)
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n + 1:
-            n = max(n, 2 * len(self.up))
-            self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]), dtype=np.uint64) for b in (self.base, self.inverse))
-        return self.up, self.down
+def bytes_hash(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit multilinear hash of ``raw[start:end]`` for each of some spans in ascending order that do not overlap:
+    the sum of each byte times the key of its place. Keys of different places are independent, so no pattern of bytes
+    makes spans collide more often than chance. ``which`` picks one of two functions."""
+    at_start, at_end, total = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64), np.uint64(0)
+    for p in range(0, len(raw), _STRIDE):
+        q = min(p + _STRIDE, len(raw))
+        low, high = max(int(np.searchsorted(starts, p, "right")) - 1, 0), int(np.searchsorted(starts, q))
+        if high <= low:
+            continue
+        marks = np.maximum(starts[low:high], p)
+        lead = int(marks[0])
+        place = np.arange(lead, q) - np.repeat(starts[low:high], np.diff(np.append(marks, q)))
+        sums = np.empty(q - lead + 1, np.uint64)
+        sums[0] = total
+        np.cumsum((raw[lead:q].astype(np.uint64) + np.uint64(1)) * _keys(place, which), out=sums[1:])
+        sums[1:] += total
+        total = sums[-1]
+        own = slice(int(np.searchsorted(starts, lead)), high)
+        at_start[own] = sums[starts[own] - lead]
+        own = slice(int(np.searchsorted(ends, lead, "right")), int(np.searchsorted(ends, q, "right")))
+        at_end[own] = sums[ends[own] - lead]
+    at_start[starts >= len(raw)] = total
+    return mix(at_end - at_start + (ends - starts).astype(np.uint64) * _STEP + _SEEDS[which])
 
 
-_POWERS = tuple(Powers(b) for b in _BASES)
+def _joined(a: np.ndarray, b: np.ndarray, which: int) -> np.ndarray:
+    return mix((a ^ _SEEDS[which]) * _FACTORS[which] + b)
 
 
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` for each span, from one prefix sum; ``which`` picks one of two functions."""
-    up, down = _POWERS[which].upto(len(values))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
+    """A 64-bit hash of the 64-bit ``values[start:end]`` for each span: hashes of 1, 2, 4, ... values in a row are mixed
+    from halves, and a span from those of the bits of its length. ``which`` picks one of two functions."""
+    lengths = ends - starts
+    out, at, level, k = np.full(len(starts), _SEEDS[which]), starts.copy(), values, 0
+    most = int(lengths.max(initial=0))
+    while 1 << k <= most:
+        if k:
+            half = 1 << (k - 1)
+            level = _joined(level[:-half], level[half:], which)
+        take = np.flatnonzero(lengths & (1 << k))
+        if len(take):
+            out[take] = _joined(out[take], level[at[take]], which)
+            at[take] += 1 << k
+        k += 1
+    return mix(out + lengths.astype(np.uint64) * _STEP)
 
 
 def words_of(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lontar.llm.common import as_bytes, checkpoint, held, slices, span_hash, text_batches
+from lontar.llm.common import Shelf, as_bytes, bytes_hash, held, slices, span_hash, text_batches
 
 WINDOW = 3
 _PLACE = ["doc", "t1", "t2"]
@@ -48,7 +48,7 @@ def window_hashes(array: pa.Array, window: int = WINDOW) -> tuple[np.ndarray, np
     at, doc = at[whole], doc[whole]
     seen = ink[end[at + window - 1]] > ink[begin[at]]
     at, doc = at[seen], doc[seen]
-    hashes = [span_hash(span_hash(raw, begin, end, k), at, at + window, k).view(np.int64) for k in (0, 1)]
+    hashes = [span_hash(bytes_hash(raw, begin, end, k), at, at + window, k).view(np.int64) for k in (0, 1)]
     return doc, at - first[doc], *hashes
 
 
@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("doc", kind), T.StructField("t1", T.LongType()), T.StructField("t2", T.LongType()), T.StructField("line", T.IntegerType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
     found = body.where("text is not null").mapInArrow(windows, schema)
     place = F.struct(*_PLACE, "line")
-    repeated = checkpoint(found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first"))
+    repeated = Shelf(docs.sparkSession, "lines").put(found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first"))
     later = found.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     marked = later.groupBy(*_PLACE).agg(F.collect_set("line").alias("marks"))
 

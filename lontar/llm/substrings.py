@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, checkpoint, held, mix, partitions, slices, span_hash, text_batches, words_of
+from lontar.llm.common import as_bytes, bytes_hash, checkpoint, held, mix, partitions, slices, span_hash, text_batches, words_of
 
 WINDOW = 35
 CONTEXT = 8
@@ -125,7 +125,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             for part in slices(batch, "text", PACK_BYTES):
                 raw, starts = as_bytes(part.column(1))
                 begin, end, first = words_of(raw, starts)
-                a, b, keys = anchors(span_hash(raw, begin, end), first)
+                a, b, keys = anchors(bytes_hash(raw, begin, end), first)
                 row = (base + k, part.column(0).to_pylist(), starts.tobytes(), codec.compress(raw.tobytes(), asbytes=True), len(raw), codec.compress(np.diff(a, prepend=0).astype(np.int32).tobytes(), asbytes=True), codec.compress((b - a).astype(np.int32).tobytes(), asbytes=True), keys.tobytes())
                 kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 k += 1
@@ -208,7 +208,7 @@ class Pack:
         self.windows = np.repeat(start - np.append(0, np.cumsum(n))[:-1], n) + np.arange(int(n.sum()))
 
     def fingerprints(self) -> list[np.ndarray]:
-        return [span_hash(span_hash(self.raw, self.begin, self.end, k), self.windows, self.windows + WINDOW, k) for k in (0, 1)]
+        return [span_hash(bytes_hash(self.raw, self.begin, self.end, k), self.windows, self.windows + WINDOW, k) for k in (0, 1)]
 
     def removed(self, hit: np.ndarray) -> np.ndarray:
         edge = np.zeros(len(self.begin) + 1, np.int64)

@@ -17,11 +17,9 @@ rows. Other columns are not read.
 
 from __future__ import annotations
 
-import atexit
 import os
 import re
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import held, partitions, shared_dir, slices, text_batches
+from lontar.llm.common import held, partitions, scratch, slices, text_batches
 
 MAGIC = b"LTK1"
 HEAD = struct.Struct("<4sHHIQQ")
@@ -243,21 +241,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/lontar-{name}-{uuid.uuid4().hex}"
-
-    def remove() -> None:
-        try:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session has ended already
-            pass
-
-    atexit.register(remove)
-    return path
-
-
 def op10(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     path = scratch(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer, end_id)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from lontar.llm import components, lines, minhash, mixing, secrets, sentencepieces, substrings, tokenfiles, toxicity, vectors  # noqa: E402
+from lontar.llm.common import Shelf, bytes_hash, span_hash  # noqa: E402
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,12 +51,23 @@ def test_sentencepiece_equals_the_library(texts):
         assert (ids, decimal, decoded, wrong) == (want, " ".join(map(str, want)), sp.decode(want), 0)
 
 
-def test_long_chunks_use_the_heap_alike():
+def test_rounds_and_heap_agree():
     v = sentencepieces.chunks_of(PIECES).vocabulary
     rng = random.Random(1)
-    for _ in range(30):
-        chunk = "▁" + "".join(rng.choices("abcdeing thr".replace(" ", ""), k=rng.randint(1, 300)))
-        assert v.merged_long(chunk) == v.merged_short(chunk)
+    chunks = ["▁" + "".join(rng.choices("abcdeingthr é日😀\x00'1.▁".replace(" ", ""), k=rng.randint(0, 60))) for _ in range(3000)]
+    assert v.merge_all(chunks) == [v.merge(c) for c in chunks]
+    assert v.merge_all([]) == [] and v.merge_all(["▁"]) == [v.merge("▁")]
+
+
+def test_the_cache_of_chunks_is_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepieces, "CACHE_BYTES", 20_000)
+    chunks = sentencepieces.Chunks(sentencepieces.chunks_of(PIECES).vocabulary)
+    sp = chunks.vocabulary.library
+    rng = random.Random(2)
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choices("abcde", k=rng.randint(1, 90))) for _ in range(30))]
+        assert [x[0] for x in sentencepieces.encoded(texts, chunks)] == [sp.encode(t, add_eos=True) for t in texts]
+        assert len(chunks.known) + len(chunks.old) < 120
 
 
 @settings(max_examples=150, deadline=None)
@@ -99,6 +111,48 @@ def test_token_queries(spark):
     assert sentencepieces.op2(empty, PIECES).count() == 0 and tokenfiles.op10(empty, BYTES, 2).count() == 0
 
 
+# ---- Hashes
+
+
+def thue_morse(n):
+    """Two byte strings of length 2**n that polynomial hashes modulo 2**64 can't tell apart."""
+    x, y = b"a", b"b"
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x.decode(), y.decode()
+
+
+def test_hashes_of_spans():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 50, 5000, 700_000):
+        raw = rng.integers(0, 3, size).astype(np.uint8)
+        cuts = np.unique(np.append(rng.integers(0, size + 1, min(40, size)), [0, size]))
+        starts, ends = np.append(cuts[:-1], [size, size]), np.append(cuts[1:], [size, size])
+        for which in (0, 1):
+            got = bytes_hash(raw, starts, ends, which)
+            assert all(h == bytes_hash(raw[a:b].copy(), np.array([0]), np.array([b - a]), which)[0] for a, b, h in zip(starts, ends, got))
+            values = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+            begin = rng.integers(0, 100, 50)
+            end = begin + rng.integers(0, 100, 50)
+            got = span_hash(values, begin, end, which)
+            assert all(h == span_hash(values[a:b].copy(), np.array([0]), np.array([b - a]), which)[0] for a, b, h in zip(begin, end, got))
+    for n in (8, 11, 14):
+        x, y = (np.frombuffer(t.encode(), np.uint8) for t in thue_morse(n))
+        one, all_ = np.array([0]), np.array([len(x)])
+        assert all(bytes_hash(x, one, all_, k) != bytes_hash(y, one, all_, k) and span_hash(x.astype(np.uint64), one, all_, k) != span_hash(y.astype(np.uint64), one, all_, k) for k in (0, 1))
+
+
+def test_structured_lines_and_words_do_not_collide(spark):
+    x, y = thue_morse(11)
+    texts = [f"{x}\np\nq", f"{y}\np\nq"]
+    assert [r.n_removed for r in lines.dedup_lines(documents(spark, texts)).collect()] == [0, 0]
+    rest = " ".join(f"r{i}" for i in range(34))
+    assert [r.n_removed for r in substrings.op5(documents(spark, [f"{x} {rest}", f"{y} {rest}"])).collect()] == [0, 0]
+    assert all(r.kept for r in minhash.op6(documents(spark, [x, y])).collect())
+    words_x, words_y = (" ".join(t[:256]) for t in thue_morse(8))
+    assert {r.n_shingles for r in minhash.op6(documents(spark, [words_x, words_y])).collect()} == {len({tuple(w[i : i + 5]) for i in range(252)}) for w in (words_x.split(), words_y.split())}
+
+
 # ---- Line and passage deduplication
 
 
@@ -206,7 +260,7 @@ def test_components(spark):
     rng = random.Random(6)
     for n, m in ((1, 0), (30, 20), (200, 190), (60, 59)):
         links = [(i, i + 1) for i in range(n - 1)] if m == n - 1 else [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
-        got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect()) if links else {}
+        got = dict(components.components(spark.createDataFrame(links, "a long, b long"), Shelf(spark, "test")).collect()) if links else {}
         want = classes(n, links)
         assert all(got.get(i, i) == want[i] for i in range(n))
 
