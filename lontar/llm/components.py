@@ -5,46 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import checkpoint
-
-MAX_ROUNDS = 60
+from lontar.llm.common import Shelf
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """For each ``u`` the least of its ``v``. Written out, so that the join with it can split a ``u`` of many edges."""
-    return checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")))
-
-
-def large_star(edges: DataFrame) -> DataFrame:
-    """Every node hands its larger neighbours to the least node it knows."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    near = both.join(_least(both), "u").where("v > u")
-    return near.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+    """For each ``u`` the least of its ``v``."""
+    return edges.groupBy("u").agg(F.min("v").alias("m"))
 
 
-def small_star(edges: DataFrame) -> DataFrame:
-    """Every node hands itself and its smaller neighbours to the least of them."""
-    near = edges.join(_least(edges), "u")
-    return near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(near.select("u", F.col("m").alias("v"))).distinct()
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, component`` of every node that has a link in ``links(a, b)``; the component is its least node."""
-    directed = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = checkpoint(directed)
-    seen = _fingerprint(edges)
-    for _ in range(MAX_ROUNDS):
-        if not seen[0]:
-            break
-        edges = checkpoint(small_star(large_star(edges).distinct()))
-        now = _fingerprint(edges)
-        if now == seen:
-            break
+def components(links: DataFrame, shelf: Shelf) -> DataFrame:
+    """``node, component`` of every node that has a link in ``links(a, b)``; the component is its least node.
+
+    Large-star: every node hands its larger neighbours to the least node it knows. Small-star: every node hands itself
+    and its smaller neighbours to the least of them. Both in turn until nothing changes, which they reach after a number
+    of rounds in the square of the logarithm of the nodes. The least neighbours are written out before the join with
+    them, so that the join can split a node of many edges; what a round no longer reads is deleted.
+    """
+    edges = shelf.put(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    seen, now = None, _fingerprint(edges)
+    while now[0] and now != seen:
         seen = now
-    else:
-        raise RuntimeError(f"components have not settled in {MAX_ROUNDS} rounds")
+        least = shelf.put(_least(_both(edges)))
+        large = shelf.put(_both(edges).join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+        shelf.drop(edges, least)
+        least = shelf.put(_least(large))
+        near = large.join(least, "u")
+        edges = shelf.put(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v")).distinct())
+        shelf.drop(large, least)
+        now = _fingerprint(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

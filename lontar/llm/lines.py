@@ -62,7 +62,7 @@ def covered(starts: list[int], n: int, window: int = WINDOW) -> np.ndarray:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines of repeated windows, with ``n_lines`` and ``n_removed``."""
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     kind = docs.schema["doc_id"].dataType
     body = text_batches(docs).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2"), "text")
 
@@ -78,7 +78,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     found = body.where("text is not null").mapInArrow(windows, schema)
     place = F.struct(*_PLACE, "line")
     repeated = Shelf(docs.sparkSession, "lines").put(found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first"))
-    later = found.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    later = found.join(repeated.hint("merge"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     marked = later.groupBy(*_PLACE).agg(F.collect_set("line").alias("marks"))
 
     d, m = docs.select(*[f"`{c}`" for c in kept], F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2")).alias("d"), marked.alias("m")

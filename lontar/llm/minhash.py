@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, checkpoint, held, lowered, mix, slices, span_hash, text_batches, words_of
+from lontar.llm.common import Shelf, as_bytes, bytes_hash, held, lowered, mix, slices, span_hash, text_batches, words_of
 from lontar.llm.components import components
 
 SHINGLE = 5
@@ -59,7 +59,7 @@ def shingle_sets(array: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     raw, starts = as_bytes(array)
     raw = lowered(raw)
     begin, end, first = words_of(raw, starts)
-    values = span_hash(raw, begin, end)
+    values = bytes_hash(raw, begin, end)
     out = []
     counts = np.diff(first)
     at = np.arange(len(values), dtype=np.int64)
@@ -147,12 +147,12 @@ def _fine(nodes: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                 fine = packed_bits(np.stack([signature(s, FINE) for s in sets]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()), pa.array(fine.tolist(), pa.list_(pa.int64()))], names=["rep", "digest", "fine"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(nodes, "rep", "left_semi").select("rep", "text")
-    found = texts.mapInArrow(run, "rep long, digest binary, fine array<long>").join(reps.select("rep", "digest"), ["rep", "digest"], "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(nodes.hint("merge"), "rep", "left_semi").select("rep", "text")
+    found = texts.mapInArrow(run, "rep long, digest binary, fine array<long>").join(reps, ["rep", "digest"], "left_semi")
     return found.select("rep", "fine").dropDuplicates(["rep"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, threshold: int, shelf: Shelf) -> DataFrame:
     """The pairs that reach the threshold on their full shingle sets."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,49 +172,60 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, threshold: in
                 keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    pairs = shelf.put(pairs)
+    # The wanted ids grow with the documents, so they are never sent to all executors, however few they look.
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    full = checkpoint(texts.select("doc_id", "text").mapInArrow(sets, "rep long, digest binary, shingles binary").join(reps.select("rep", "digest"), ["rep", "digest"], "left_semi").select("rep", "shingles"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi")
+    full = shelf.put(texts.select("doc_id", "text").mapInArrow(sets, "rep long, digest binary, shingles binary").join(reps, ["rep", "digest"], "left_semi").select("rep", "shingles"))
     fa = full.select(F.col("rep").alias("a"), F.col("shingles").alias("fa"))
     fb = full.select(F.col("rep").alias("b"), F.col("shingles").alias("fb"))
-    return pairs.join(fb, "b").join(fa, "a").select("a", "b", "fa", "fb").mapInArrow(run, "a long, b long")
+    found = shelf.put(pairs.join(fb, "b").join(fa, "a").select("a", "b", "fa", "fb").mapInArrow(run, "a long, b long"))
+    shelf.drop(pairs, full)
+    return found
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each document; links from ``threshold`` hundredths on."""
-    rows = checkpoint(features(docs, threshold))
+    shelf = Shelf(docs.sparkSession, "minhash")
+    rows = shelf.put(features(docs, threshold))
     known = rows.where("n_shingles > 0 and doc_id is not null")
-    reps = checkpoint(known.groupBy("digest").agg(F.min("doc_id").alias("rep")))
-    nodes = checkpoint(known.withColumnRenamed("doc_id", "rep").join(reps, ["rep", "digest"]).select("rep", "digest", "signature", "bands").dropDuplicates(["rep", "digest"]))
+    # Rows of one digest have one set, so any of them has its signature and bands.
+    nodes = shelf.put(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")))
+    reps = nodes.select("rep", "digest")
 
     entries = nodes.select(F.posexplode("bands").alias("band", "key"), "rep")
-    shared = checkpoint(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    joined = checkpoint(entries.join(shared, "key"))
-    company = checkpoint(joined.groupBy("rep").agg(F.sum("n").alias("company")))
+    shared = shelf.put(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    joined = shelf.put(entries.join(shared, "key"))
+    company = shelf.put(joined.groupBy("rep").agg(F.sum("n").alias("company")))
     weighed = joined.join(company, "rep")
-    centers = checkpoint(weighed.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"))).alias("top")).select("key", (-F.col("top.rep")).alias("center")))
-    members = checkpoint(joined.join(centers, "key").select("key", "band", "rep", "center"))
+    centers = shelf.put(weighed.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"))).alias("top")).select("key", (-F.col("top.rep")).alias("center")))
+    members = shelf.put(joined.join(centers, "key").select("key", "band", "rep", "center"))
+    shelf.drop(shared, joined, company, centers)
 
-    tried = checkpoint(members.where("rep <> center").select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct())
-    links = checkpoint(_confirmed(checkpoint(_agreeing(tried, nodes, threshold)), docs, reps, threshold))
-    found = checkpoint(components(links))
+    tried = shelf.put(members.where("rep <> center").select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct())
+    links = _confirmed(_agreeing(tried, nodes, threshold), docs, reps, threshold, shelf)
+    found = components(links, shelf)
 
     named = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = checkpoint(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"))
-    apart = checkpoint(named.join(mixed, "key", "left_semi"))
-    fine = checkpoint(_fine(apart.select("rep").distinct(), docs, reps))
-    left = checkpoint(apart.join(nodes.select("rep", "signature", "bands"), "rep").join(fine, "rep"))
+    mixed = shelf.put(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key"))
+    apart = shelf.put(named.join(mixed, "key", "left_semi"))
+    shelf.drop(links, members, mixed)
+    fine = shelf.put(_fine(apart.select("rep").distinct(), docs, reps))
+    left = shelf.put(apart.join(nodes.select("rep", "signature", "bands"), "rep").join(fine, "rep"))
+    shelf.drop(apart, fine)
     x, y = left.alias("x"), left.alias("y")
     first_band = ~F.exists(F.sequence(F.lit(0), F.col("x.band")), lambda j: (j < F.col("x.band")) & (F.get("x.bands", j) == F.get("y.bands", j)))
     alike = (differing(F.col("x.signature"), F.col("y.signature")) <= most_differing(HASHES, threshold)) & (differing(F.col("x.fine"), F.col("y.fine"), FINE) <= most_differing(FINE, threshold))
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & alike & first_band)
     pair = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = checkpoint(_confirmed(checkpoint(pair), docs, reps, threshold))
+    more = _confirmed(pair, docs, reps, threshold, shelf)
+    shelf.drop(left, tried)
     if not more.isEmpty():
-        found = checkpoint(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), shelf)
 
-    classes = checkpoint(reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component")))
-    flat = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest"))
+    classes = shelf.put(reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component")))
+    flat = shelf.put(rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest")))
+    shelf.drop(rows, nodes)
     same: Column = F.coalesce("component", "doc_id")
     return flat.join(classes, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), same).alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

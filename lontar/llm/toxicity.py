@@ -274,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 if the score is 0.5 or more)."""
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     at = kept.index("text")
     out = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in kept], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
