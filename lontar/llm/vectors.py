@@ -1,7 +1,8 @@
 """Near-duplicates and nearest neighbours of vectors.
 
-A vector takes part if it is not null, has no null or non-finite component, is not zero, and has the table's most
-frequent number of components. All arithmetic is in double precision on the stored components.
+A vector takes part if it is not null, has no null or non-finite component and is not zero. Vectors of different numbers
+of components are never compared; each number has an index of its own. All arithmetic is in double precision on the
+stored components.
 """
 
 from __future__ import annotations
@@ -12,20 +13,25 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import checkpoint, mix, partitions
+from lontar.llm.common import Shelf, mix, partitions
 from lontar.llm.components import components
 
 PIVOTS, NEAREST, SHARED = 256, 9, 3
 APART = 0.9
 COSINE = 0.98
 
-TABLES, PROJECTIONS, WIDTH, PROBES = 8, 4, 1.5, 16
+TABLES, PROJECTIONS = 8, 4
+#: Cell widths, in spreads of the projections, and numbers of probes that an index chooses from, and the recall that it
+#: asks of them on its sample.
+CHOICES = ((0.5, 16), (1.0, 8), (1.0, 16), (1.5, 8), (1.5, 16), (1.5, 24))
+RECALL = 0.97
 SAMPLE = 2_000
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 1_024
 K = 10
 
 
@@ -36,28 +42,32 @@ def usable(vector: str = "embedding") -> Column:
     return F.coalesce(v.isNotNull() & fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def of_one_length(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """The vectors that take part, and their number of components (0 if there are none)."""
-    rows = vectors.where(usable())
-    most = rows.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").first()
-    return (rows.where(F.size("embedding") == most["n"]), most["n"]) if most else (rows, 0)
+def matrix(array: pa.Array) -> np.ndarray:
+    """A list column of vectors of one length as rows of doubles."""
+    return np.asarray(array.flatten(), dtype=np.float64).reshape(len(array), -1)
 
 
-def matrix(array: pa.Array, width: int) -> np.ndarray:
-    """A list column as rows of doubles."""
-    return np.asarray(array.flatten(), dtype=np.float64).reshape(len(array), width)
+def by_width(array: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length of vector in a list column: the length, which rows have it, and their vectors."""
+    sizes = pc.list_value_length(array).to_numpy(zero_copy_only=False)
+    for width in np.unique(sizes):
+        rows = np.flatnonzero(sizes == width)
+        yield int(width), rows, matrix(array.take(pa.array(rows)))
 
 
-def sample(rows: DataFrame, n: int, *key: str) -> np.ndarray:
-    """At most ``n`` vectors, those of the smallest hash: a bounded sample that does not depend on the partitions."""
-    found = rows.select("embedding").orderBy(F.xxhash64(*key), *key).limit(n).collect()
-    return np.array([r["embedding"] for r in found], dtype=np.float64)
+def sample(rows: DataFrame, n: int, *key: str) -> dict[int, np.ndarray]:
+    """``n`` vectors of the table at most, those of the least hash of ``key``, so that the choice does not depend on the
+    partitions; by their number of components."""
+    found: dict[int, list] = {}
+    for r in rows.select("embedding").orderBy(F.xxhash64(*key), *key).limit(n).collect():
+        found.setdefault(len(r["embedding"]), []).append(r["embedding"])
+    return {width: np.array(x, np.float64) for width, x in found.items()}
 
 
-def reference_points(found: np.ndarray, width: int, n: int = PIVOTS, seed: int = 5) -> np.ndarray:
-    """``n`` unit vectors: up to half of them from the sample, no two within cosine ``APART`` (many points in one dense
+def reference_points(found: np.ndarray | None, width: int, n: int = PIVOTS, seed: int = 5) -> np.ndarray:
+    """``n`` unit vectors of ``width`` components: up to half of them from the sample, no two within cosine ``APART`` (many points in one dense
     group would rank at random and share nothing), the rest random directions."""
-    unit = found / np.linalg.norm(found, axis=1)[:, None]
+    unit = np.zeros((0, width)) if found is None else found / np.linalg.norm(found, axis=1)[:, None]
     chosen: list[np.ndarray] = []
     for x in unit:
         if len(chosen) < n // 2 and (not chosen or (np.array(chosen) @ x).max() < APART):
@@ -70,74 +80,94 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors(vec_id, embedding, label)``.
 
     Pivot-permutation index: each vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points, from a
-    bounded sample and at random. Inverted lists are kept for triples of pivots, so two vectors meet in a list as soon as they share
+    bounded sample and at random (all at random for a number of components that the sample does not hold). Inverted lists are kept for triples of pivots, so two vectors meet in a list as soon as they share
     ``SHARED`` pivots, and a list is far shorter than one of a single pivot. A pair counts in the first of its lists
     only; the shared count decides, then the cosine. Rows with equal vectors and labels are one entry of the index,
     and count as links of each other. Vectors without a label, and those that take no part, have no links and are
     their own component. Repeated rows count as vectors of their own; a row without vec_id has component null unless
     its links have ids.
     """
+    shelf = Shelf(vectors.sparkSession, "vectors")
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
-    rows, width = of_one_length(base.where("label is not null"))
-    keys = [F.xxhash64("label", "embedding").alias("k1"), F.xxhash64(F.lit(7), "label", "embedding").alias("k2")]
-    reps = checkpoint(rows.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumns({"k1": F.xxhash64("label", "embedding"), "k2": F.xxhash64(F.lit(7), "label", "embedding")}))
-    alone = base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not width:
-        return alone
-    pivots = reference_points(sample(reps, SAMPLE, "k1", "k2"), width)
+    takes_part = F.col("label").isNotNull() & usable()
+    keys = {"k1": F.xxhash64("label", "embedding"), "k2": F.xxhash64(F.lit(7), "label", "embedding")}
+    reps = shelf.put(base.where(takes_part).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumns(keys))
+    points = {width: reference_points(x, width) for width, x in sample(reps, SAMPLE, "k1", "k2").items()}
     nearest, shared = NEAREST, SHARED
     triples = np.array(list(combinations(range(nearest), shared)))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(3), width)
-            near = np.sort(np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :nearest], axis=1)
-            code = np.zeros((len(x), len(triples)), np.int64)
+            near, code = np.zeros((batch.num_rows, nearest), np.int64), np.zeros((batch.num_rows, len(triples)), np.int64)
+            for width, rows, x in by_width(batch.column(3)):
+                if width not in points:
+                    points[width] = reference_points(None, width)
+                near[rows] = np.sort(np.argsort(-(x @ points[width].T), axis=1, kind="stable")[:, :nearest], axis=1)
             for j in range(shared):
                 code = code * PIVOTS + near[:, triples[:, j]]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(3)], pa.array(near.astype(np.int16).tolist(), pa.list_(pa.int16())), pa.array(code.tolist(), pa.list_(pa.int64()))], names=["k1", "k2", "label", "near", "codes"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(3)], pc.list_value_length(batch.column(3)), pa.array(near.astype(np.int16).tolist(), pa.list_(pa.int16())), pa.array(code.tolist(), pa.list_(pa.int64()))], names=["k1", "k2", "label", "width", "near", "codes"])
 
     kind = vectors.schema["label"].dataType.simpleString()
-    described = checkpoint(reps.select("k1", "k2", "label", "embedding").mapInArrow(lists, f"k1 long, k2 long, label {kind}, near array<smallint>, codes array<long>"))
-    entries = described.select("label", F.explode("codes").alias("code"), F.struct("k1", "k2").alias("v"), "near")
+    described = shelf.put(reps.select("k1", "k2", "label", "embedding").mapInArrow(lists, f"k1 long, k2 long, label {kind}, width int, near array<smallint>, codes array<long>"))
+    entries = described.select("label", "width", F.explode("codes").alias("code"), F.struct("k1", "k2").alias("v"), "near")
     a, b = entries.alias("a"), entries.alias("b")
     common = F.array_intersect("a.near", "b.near")
     first = F.lit(0).cast("long")
     for j in range(shared):
         first = first * PIVOTS + F.get(common, F.lit(j)).cast("long")
-    pairs = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.code") == F.col("b.code")) & (F.col("a.v") < F.col("b.v"))).where(F.col("a.code") == first)
+    pairs = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.width") == F.col("b.width")) & (F.col("a.code") == F.col("b.code")) & (F.col("a.v") < F.col("b.v"))).where(F.col("a.code") == first)
     pairs = pairs.select(F.col("a.v.k1").alias("a1"), F.col("a.v.k2").alias("a2"), F.col("b.v.k1").alias("b1"), F.col("b.v.k2").alias("b2"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = matrix(batch.column(4), width), matrix(batch.column(5), width)
-            norms = np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))
-            yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array((x * y).sum(1) / norms >= cosine))
+            keep = np.zeros(batch.num_rows, bool)
+            for _, rows, x in by_width(batch.column(4)):
+                y = matrix(batch.column(5).take(pa.array(rows)))
+                norms = np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))
+                keep[rows] = (x * y).sum(1) / norms >= cosine
+            yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(keep))
 
     side = lambda s: reps.select(F.col("k1").alias(f"{s}1"), F.col("k2").alias(f"{s}2"), F.col("embedding").alias(f"{s}v"))
-    linked = checkpoint(pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"]).select("a1", "a2", "b1", "b2", "av", "bv").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long"))
+    linked = shelf.put(pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"]).select("a1", "a2", "b1", "b2", "av", "bv").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long"))
 
     name = lambda s: reps.select(F.col("k1").alias(f"{s}1"), F.col("k2").alias(f"{s}2"), F.col("rep").alias(s), F.col("copies").alias(f"{s}n"))
-    named = checkpoint(linked.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"]))
+    named = shelf.put(linked.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"]))
+    shelf.drop(described, linked)
     each = named.select("a1", "a2", "bn").toDF("k1", "k2", "n").union(named.select("b1", "b2", "an").toDF("k1", "k2", "n")).groupBy("k1", "k2").agg(F.sum("n").alias("others"))
-    found = components(named.select("a", "b").where("a is not null and b is not null")).withColumnRenamed("node", "rep")
+    found = components(named.select("a", "b").where("a is not null and b is not null"), shelf).withColumnRenamed("node", "rep")
     classes = reps.join(each, ["k1", "k2"], "left").join(found, "rep", "left")
-    classes = checkpoint(classes.select("k1", "k2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component")))
-    takes_part = F.col("label").isNotNull() & usable() & (F.size("embedding") == width)
-    marked = base.select("vec_id", *[F.when(takes_part, k).alias(n) for k, n in zip(keys, ("k1", "k2"), strict=True)])
+    classes = shelf.put(classes.select("k1", "k2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component")))
+    shelf.drop(reps, named)
+    marked = base.select("vec_id", *[F.when(takes_part, k).alias(n) for n, k in keys.items()])
     out = marked.join(classes, ["k1", "k2"], "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 class Hashes:
-    """``TABLES`` p-stable hash functions of ``PROJECTIONS`` Gaussian projections each, and their probing order."""
+    """``TABLES`` p-stable hash functions of ``PROJECTIONS`` Gaussian projections each, and their probing order. Cell
+    width and number of probes are the cheapest of ``CHOICES`` that find ``RECALL`` of the sample's own neighbours."""
 
-    def __init__(self, fitted: np.ndarray, seed: int = 11):
+    def __init__(self, fitted: np.ndarray, seed: int = 11, k: int = K):
         rng = np.random.default_rng(seed)
         self.a = rng.normal(size=(TABLES, fitted.shape[1], PROJECTIONS))
         spread = max(float(np.std(np.concatenate([(fitted @ a).ravel() for a in self.a]))), 1e-9)
-        self.width = WIDTH * spread
-        self.b = rng.uniform(0, self.width, (TABLES, PROJECTIONS))
+        shifts = rng.uniform(0, 1, (TABLES, PROJECTIONS))
+        asked = fitted[:: max(1, len(fitted) // 100)]
+        squares = (fitted * fitted).sum(1)
+        far = squares[None] + (asked * asked).sum(1)[:, None] - 2 * asked @ fitted.T
+        true = np.argsort(far, axis=1, kind="stable")[:, : k + 1]
+        tried = []
+        for width, probes in CHOICES:
+            self.width, self.b, self.n_probes = width * spread, shifts * width * spread, probes
+            seen = np.zeros(far.shape, bool)
+            for t in range(TABLES):
+                rows = bucket_ids(self.cells(fitted, t)[0], t)
+                for q, (cell, inside) in enumerate(zip(*self.cells(asked, t), strict=True)):
+                    seen[q] |= np.isin(rows, bucket_ids(self.probes(cell, inside), t))
+            recall = float(np.take_along_axis(seen, true, 1).mean())
+            tried.append((recall < RECALL, float(seen.mean()) if recall >= RECALL else -recall, width, probes))
+        _, _, width, self.n_probes = min(tried)
+        self.width, self.b = width * spread, shifts * width * spread
 
     def cells(self, x: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
         """The cell of each vector in table ``t``, and how far into the cell it lies (0 to 1)."""
@@ -145,12 +175,12 @@ class Hashes:
         cell = np.floor(y)
         return cell.astype(np.int64), y - cell
 
-    def probes(self, cell: np.ndarray, inside: np.ndarray, n: int = PROBES) -> np.ndarray:
+    def probes(self, cell: np.ndarray, inside: np.ndarray) -> np.ndarray:
         """The cells to visit for one query, likeliest first: its own, then sets of steps to neighbouring cells in
         ascending order of the summed squared distances to the borders that they cross."""
         steps = sorted([(f * f, m, -1) for m, f in enumerate(inside)] + [((1 - f) ** 2, m, 1) for m, f in enumerate(inside)])
         out, heap = [cell], [(steps[0][0], (0,))]
-        while heap and len(out) < n:
+        while heap and len(out) < self.n_probes:
             cost, chosen = heapq.heappop(heap)
             if len({steps[i][1] for i in chosen}) == len(chosen):
                 moved = cell.copy()
@@ -164,8 +194,8 @@ class Hashes:
         return np.array(out)
 
 
-def bucket_ids(cells: np.ndarray, t: int) -> np.ndarray:
-    key = np.full(len(cells), t + 1, np.uint64)
+def bucket_ids(cells: np.ndarray, t: int, width: int = 0) -> np.ndarray:
+    key = np.full(len(cells), (width << 16) + t + 1, np.uint64)
     for j in range(cells.shape[1]):
         key = mix(key ^ cells[:, j].astype(np.uint64))
     return key.view(np.int64)
@@ -191,17 +221,32 @@ def block_neighbours(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: n
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _searched(entries: DataFrame, queries: DataFrame, width: int, k: int) -> DataFrame:
-    """``query_id, vec_id, score``: the nearest in each block of ``bucket, sub``."""
+def _searched(entries: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the nearest in each block of ``bucket, sub, part``."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             names, ids, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         else:
-            names, ids, d = block_neighbours(left.column("vec_id").to_numpy(), matrix(left.column("embedding").combine_chunks(), width), right.column("query_id").to_numpy(), matrix(right.column("embedding").combine_chunks(), width), k)
+            names, ids, d = block_neighbours(left.column("vec_id").to_numpy(), matrix(left.column("embedding").combine_chunks()), right.column("query_id").to_numpy(), matrix(right.column("embedding").combine_chunks()), k)
         return pa.table({"query_id": pa.array(names, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(d, pa.float64())})
 
-    return entries.groupBy("bucket", "sub").cogroup(queries.groupBy("bucket", "sub")).applyInArrow(run, "query_id long, vec_id long, score double")
+    key = ["bucket", "sub", "part"]
+    return entries.groupBy(*key).cogroup(queries.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score double")
+
+
+def _blocks(entries: DataFrame, queries: DataFrame, shelf: Shelf) -> tuple[DataFrame, DataFrame]:
+    """Both with ``sub`` and ``part``: a bucket's rows in blocks, and its queries in blocks, ``BLOCK_ROWS`` or so in
+    each; every block of rows meets every block of queries. Buckets that no query visits go."""
+    some = lambda df, name: df.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias(name))
+    sizes = shelf.put(some(entries, "subs").join(some(queries, "parts"), "bucket"))
+    block = lambda key, n: F.pmod(F.xxhash64(key), F.col(n).cast("long")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = entries.join(sizes, "bucket").withColumns({"sub": block("vec_id", "subs"), "part": every("parts")})
+    again = sizes.select("bucket", F.col("subs").alias("n_subs"), F.col("parts").alias("n_parts"))
+    asked = queries.join(again, "bucket").withColumns({"part": block("query_id", "n_parts"), "sub": every("n_subs")})
+    n = partitions(entries.sparkSession)
+    return rows.repartition(n, "bucket", "sub", "part"), asked.repartition(n, "bucket", "sub", "part")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -209,13 +254,12 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def exact_neighbours(rows: DataFrame, queries: DataFrame, width: int, k: int = K) -> DataFrame:
+def exact_neighbours(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """The exact search, in blocks of ``BLOCK_ROWS`` rows: what the index is measured against, and the way for queries
     that it gives too few candidates."""
-    n = max(1, -(-rows.count() // BLOCK_ROWS))
-    entries = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias("bucket"), F.lit(0).alias("sub"), "vec_id", "embedding")
-    asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("bucket"), F.lit(0).alias("sub"), F.col("vec_id").alias("query_id"), "embedding")
-    return _best(_searched(entries, asked, width, k), k)
+    shelf, width = Shelf(rows.sparkSession, "exact"), F.size("embedding").cast("long").alias("bucket")
+    found = _searched(*_blocks(rows.select(width, "vec_id", "embedding"), queries.select(width, F.col("vec_id").alias("query_id"), "embedding"), shelf), k)
+    return _best(found, k)
 
 
 def neighbours(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
@@ -223,48 +267,44 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
 
     Multiprobe p-stable hashing: every row is filed in one cell of each of ``TABLES`` tables; a query visits
     ``PROBES`` cells of each, in the estimated order of success; the candidates of all tables are ranked by exact
-    distance. The cell width follows the spread of a bounded sample. Cells of many rows are searched in blocks.
-    A query that finds fewer than ``k`` rows (and fewer than there are) is searched exactly. Rows without vec_id take
-    no part; rows that repeat a vec_id count once, with the smallest vector. An empty table gives no rows.
+    distance. Cell width and probes are fitted to a bounded sample; vectors of a number of components that the sample
+    does not hold are in one cell. Cells of many rows are searched in blocks. A query that finds fewer than ``k`` rows
+    (and fewer than there are) is searched exactly. Rows without vec_id take no part; rows that repeat a vec_id count
+    once, with the smallest vector. An empty table gives no rows.
     """
-    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null")
-    rows, width = of_one_length(whole)
-    rows = checkpoint(rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
+    shelf = Shelf(vectors.sparkSession, "neighbours")
+    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null").where(usable())
+    rows = shelf.put(whole.groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
     queries = rows.where(is_query)
-    if not width:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).where(F.lit(False))
-    hashes = Hashes(sample(rows, SAMPLE, "vec_id"))
+    hashes = {width: Hashes(x, k=k) for width, x in sample(rows, SAMPLE, "vec_id").items()}
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(1), width)
-            for t in range(TABLES):
-                yield pa.RecordBatch.from_arrays([pa.array(bucket_ids(hashes.cells(x, t)[0], t)), *batch.columns], names=["bucket", "vec_id", "embedding"])
+            for width, at, x in by_width(batch.column(1)):
+                own, h = [c.take(pa.array(at)) for c in batch.columns], hashes.get(width)
+                for t in range(TABLES if h else 1):
+                    cells = h.cells(x, t)[0] if h else np.zeros((len(x), 1), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket_ids(cells, t, width)), *own], names=["bucket", "vec_id", "embedding"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(1), width)
-            for t in range(TABLES):
-                cells, inside = hashes.cells(x, t)
-                visits = [hashes.probes(c, f) for c, f in zip(cells, inside, strict=True)]
-                take = pa.array(np.repeat(np.arange(len(x)), [len(v) for v in visits]))
-                if len(take):
-                    yield pa.RecordBatch.from_arrays([pa.array(bucket_ids(np.concatenate(visits), t)), *[c.take(take) for c in batch.columns]], names=["bucket", "query_id", "embedding"])
+            for width, at, x in by_width(batch.column(1)):
+                h = hashes.get(width)
+                for t in range(TABLES if h else 1):
+                    visits = [h.probes(c, f) for c, f in zip(*h.cells(x, t), strict=True)] if h else list(np.zeros((len(x), 1, 1), np.int64))
+                    take = pa.array(np.repeat(at, [len(v) for v in visits]))
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket_ids(np.concatenate(visits), t, width)), *[c.take(take) for c in batch.columns]], names=["bucket", "query_id", "embedding"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
     filed = rows.select("vec_id", "embedding").mapInArrow(file, f"bucket long, vec_id long, embedding {kind}")
     asked = queries.select("vec_id", "embedding").mapInArrow(probe, f"bucket long, query_id long, embedding {kind}")
-    sizes = checkpoint(filed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("subs")))
-    entries = filed.join(sizes, "bucket").withColumn("sub", F.pmod(F.xxhash64("vec_id"), F.col("subs").cast("long")).cast("int"))
-    visits = asked.join(sizes, "bucket").withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
-    n = partitions(vectors.sparkSession)
-    found = _searched(entries.repartition(n, "bucket", "sub"), visits.repartition(n, "bucket", "sub"), width, k)
-    best = checkpoint(_best(found, k))
-    enough = min(k, rows.count() - 1)
-    short = queries.join(best.groupBy("query_id").agg(F.count("*").alias("n")), queries["vec_id"] == F.col("query_id"), "left").where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "embedding")
-    short = checkpoint(short)
+    best = shelf.put(_best(_searched(*_blocks(filed, asked, shelf), k), k))
+    count = rows.groupBy(F.size("embedding").alias("width")).agg((F.count("*") - 1).alias("others"))
+    got = best.groupBy("query_id").agg(F.count("*").alias("n"))
+    short = queries.withColumn("width", F.size("embedding")).join(count, "width").join(got, F.col("vec_id") == F.col("query_id"), "left")
+    short = shelf.put(short.where(F.coalesce("n", F.lit(0)) < F.least("others", F.lit(k))).select("vec_id", "embedding"))
     if not short.isEmpty():
-        best = best.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(exact_neighbours(rows, short, width, k))
+        best = best.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(exact_neighbours(rows, short, k))
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
