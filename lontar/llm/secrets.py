@@ -3,7 +3,8 @@
 Entropy rule. A candidate is a run of 20 or more characters of ``[A-Za-z0-9+/_-]``. For each character class
 (hexadecimal digits; letters, digits and ``+/_-``) a candidate that lies in the class is walked by a window of 20
 characters: one count goes up and one goes down at each step, and the sum of ``c * log2 c`` follows by table look-up,
-so a step costs the same whatever the window's size. A candidate whose best window reaches the class's threshold and
+so a step costs the same whatever the window's size. No pattern repeats a group, so texts of any length are matched
+without recursion, and places are running sums, so many matches in one text cost their number times its logarithm. A candidate whose best window reaches the class's threshold and
 which mixes letters with digits is a secret. The allow-list suppresses candidates that are plainly something else:
 all letters, all digits, UUIDs, paths and words joined by dashes or underscores.
 
@@ -15,6 +16,7 @@ scanned alike, each on its own. Positions count code points. Other columns, what
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,59 +28,77 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_VALUE = 6
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 WINDOW = 20
 #: Class name, pattern that the whole candidate matches, bits a character that its best window reaches.
 CLASSES = (("hex", r"^[0-9A-Fa-f]+$", 3.0), ("base64", r"^[A-Za-z0-9+/_-]+$", 3.6))
-ALLOWED = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$", r"^/?[A-Za-z]+(?:[/_-]+[A-Za-z]+)*/?$")
+ALLOWED = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$", r"^/?[A-Za-z](?:[A-Za-z/_-]*[A-Za-z])?/?$")
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 KINDS = ("assign", "access", "hex", "entropy")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(sizes: Column) -> Column:
+    """The sums of the first 1, 2, ... numbers of an array, by doubling: each step adds what stands 1, 2, 4, ... places
+    before, so the work is the length times its logarithm, and no array grows item by item."""
+    steps = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(sizes))) - 1), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    return F.aggregate(steps, sizes, lambda acc, k: F.transform(acc, lambda x, i: x + F.when(i >= k, F.get(acc, i - k)).otherwise(F.lit(0))))
+
+
 def matches(text: Column, pattern: str, kind: int) -> Column:
     """All leftmost non-overlapping matches as ``array<struct<start,kind,end,found>>``, by the pieces between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,found:string>>")
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found"))
-    walk = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.when(
-            x["found"].isNotNull(),
-            F.struct(
-                (acc["at"] + F.length(x["gap"]) + F.length(x["found"])).alias("at"),
-                F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), F.lit(kind).alias("kind"), (acc["at"] + F.length(x["gap"]) + F.length(x["found"])).alias("end"), x["found"].alias("found")))).alias("out"),
-            ),
-        ).otherwise(acc),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), walk).otherwise(empty)
+
+    def spans(found: Column) -> Column:
+        gaps = F.slice(F.transform(F.split(text, pattern, -1), F.length), F.lit(1), F.size(found))
+        sizes = F.transform(F.arrays_zip(gaps.alias("gap"), found.alias("found")), lambda x: x["gap"] + F.length(x["found"]))
+        one = lambda x: F.struct((x["end"] - F.length(x["found"])).alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["found"].alias("found"))
+        return let(sizes, lambda n: F.transform(F.arrays_zip(running(n).alias("end"), found.alias("found")), one))
+
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)).otherwise(empty)
 
 
 def best_entropy(candidate: Column, window: int = WINDOW) -> Column:
-    """The largest Shannon entropy, in bits a character, of any window of ``window`` characters, by incremental counts."""
+    """The largest Shannon entropy, in bits a character, of any window of ``window`` (at most 31) characters, by
+    incremental counts. The counts of the alphabet's characters are five bits each of a few numbers, so a step touches
+    those two of the character that comes and the one that goes."""
     table = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
-    code = lambda i: F.ascii(F.substr(candidate, i, F.lit(1)))
-    steps = F.transform(
-        F.sequence(F.lit(1), F.length(candidate)),
-        lambda i: F.struct(code(i).alias("new"), F.when(i > window, code(i - window)).otherwise(F.lit(-1)).alias("old"), (i >= window).alias("full")),
-    )
-    zero = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).cast("double").alias("s"), F.lit(1e9).cast("double").alias("least"))
-    one = lambda yes: F.when(yes, F.lit(1)).otherwise(F.lit(0))
+    numbers = range(-(-len(ALPHABET) // 12))
+    # A character's code: the number that holds its count, times 64, and the place of the count in it.
+    place = {c: i // 12 * 64 + i % 12 * 5 for i, c in enumerate(ALPHABET)}
+    codes = F.array(*[F.lit(place.get(chr(c), 0)) for c in range(128)])
+    text = F.transform(F.regexp_extract_all(candidate, F.lit("."), F.lit(0)), lambda c: F.get(codes, F.ascii(c)))
+    zero = F.struct(*[F.lit(0).cast("long").alias(f"n{k}") for k in numbers], F.lit(0).alias("at"), F.lit(0.0).alias("s"), F.lit(1e9).alias("least"))
+    in_number, bits = lambda c: F.call_function("shiftright", c, F.lit(6)), lambda c: c.bitwiseAND(F.lit(63))
+
+    def walked(text: Column) -> Column:
+        def step(acc: Column, new: Column) -> Column:
+            old = F.when(acc["at"] >= window, F.get(text, acc["at"] - window)).otherwise(F.lit(-1))
+
+            def count(c: Column) -> Column:
+                number = F.lit(0).cast("long")
+                for k in numbers:
+                    number = F.when(in_number(c) == k, acc[f"n{k}"]).otherwise(number)
+                return F.call_function("shiftright", number, bits(c)).bitwiseAND(F.lit(31).cast("long")).cast("int")
+
+            def unit(c: Column, k: int) -> Column:
+                return F.when(in_number(c) == k, F.call_function("shiftleft", F.lit(1).cast("long"), bits(c))).otherwise(F.lit(0).cast("long"))
 
-    def counted(acc: Column, x: Column) -> Column:
-        more = F.get(acc["n"], x["new"])
-        less = F.get(acc["n"], x["old"]) + one(x["old"] == x["new"])
-        gone = F.when(x["old"] >= 0, F.get(table, less - 1) - F.get(table, less)).otherwise(F.lit(0.0))
-        return acc["s"] + F.get(table, more + 1) - F.get(table, more) + gone
+            more, gone = count(new), old >= 0
+            less = count(old) + F.when(old == new, 1).otherwise(0)
+            s = acc["s"] + F.get(table, more + 1) - F.get(table, more) + F.when(gone, F.get(table, less - 1) - F.get(table, less)).otherwise(F.lit(0.0))
+            moved = [(acc[f"n{k}"] + unit(new, k) - F.when(gone, unit(old, k)).otherwise(F.lit(0).cast("long"))).alias(f"n{k}") for k in numbers]
+            least = F.when(acc["at"] >= window - 1, F.least(acc["least"], s)).otherwise(acc["least"])
+            return F.struct(*moved, (acc["at"] + 1).alias("at"), s.alias("s"), least.alias("least"))
 
-    def step(acc: Column, x: Column) -> Column:
-        n = F.transform(acc["n"], lambda c, i: c + one(i == x["new"]) - one(i == x["old"]))
-        s = counted(acc, x)
-        return F.struct(n.alias("n"), s.alias("s"), F.when(x["full"], F.least(acc["least"], s)).otherwise(acc["least"]).alias("least"))
+        return F.aggregate(text, zero, step, lambda acc: acc["least"])
 
-    least = F.aggregate(steps, zero, step, lambda acc: acc["least"])
-    return F.lit(math.log2(window)) - least / F.lit(float(window))
+    return F.lit(math.log2(window)) - let(text, walked) / F.lit(float(window))
 
 
 def is_secret(candidate: Column) -> Column:
@@ -90,7 +110,7 @@ def is_secret(candidate: Column) -> Column:
     need = F.lit(None).cast("double")
     for _, pattern, bits in reversed(CLASSES):
         need = F.when(candidate.rlike(pattern), F.lit(bits)).otherwise(need)
-    return F.when(allowed | ~mixed, F.lit(False)).otherwise(best_entropy(candidate) >= need)
+    return F.when(~mixed | allowed, F.lit(False)).otherwise(best_entropy(candidate) >= need)
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
