@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lontar.llm import lines, minhash, mixing, sentencepieces, toxicity
 from lontar.llm.queries import vocabulary
-from lontar.llm.tokenfiles import scratch
+from lontar.llm.common import scratch
 from lontar.sources.tables import table
 
 
