@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import WORD, Shelf, partitions
+from lontar.llm.common import WORD, Shelf
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
@@ -185,7 +185,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP, b
     pieces = rows.withColumn("block", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
     pieces = pieces.withColumns({"from": F.greatest(low, F.col("start")), "to": F.least(low + block_words, end)})
     p, u = pieces.alias("p"), uses.alias("u")
-    taken = p.join(u, F.col("p.source").eqNullSafe(F.col("u.source")) & (F.col("p.block") == F.col("u.block")), "left")
+    # Blocks in use grow with the words, so they are never sent to all executors.
+    taken = p.join(u.hint("merge"), F.col("p.source").eqNullSafe(F.col("u.source")) & (F.col("p.block") == F.col("u.block")), "left")
     in_part = F.greatest(F.least(F.col("p.block") * block_words + F.coalesce("part", F.lit(0)), "to") - F.col("from"), F.lit(0))
     words = (F.col("to") - F.col("from")) * F.coalesce("whole", F.lit(0)) + in_part
     taken = taken.groupBy("p.doc_id", "p.source", "p.start", "p.size").agg(F.sum(words).cast("long").alias("taken"), F.min("first_shard").alias("first_shard"))
