@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,17 @@ LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 WORD = r"([\p{L}\p{N}_]+)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often and in whatever lambda ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_max(values: Column) -> Column:
+    """The largest of the first 1, 2, ... numbers of an array, by doubling: each step looks 1, 2, 4, ... places back."""
+    steps = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(values))) - 1), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    return F.aggregate(steps, values, lambda acc, k: F.transform(acc, lambda x, i: F.greatest(x, F.when(i >= k, F.get(acc, i - k)).otherwise(x))))
+
+
 def quoted(text: Column) -> Column:
     """``text`` as a literal inside a Java pattern."""
     return F.regexp_replace(text, r"([\\^$.|?*+()\[\]{}])", r"\\$1")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.functions.text import LINE_END, SPACE, strip
+from lontar.functions.text import LINE_END, SPACE, bound, running_max, strip
 
 
 @dataclass(frozen=True)
@@ -48,41 +48,55 @@ def as_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", line_end:
     return rows.where(~((F.col("pos") == F.col("n") - 1) & (F.col("line") == "") & (F.col("n") > 1))).select(key, (F.col("pos") + 1).alias("line_no"), "line")
 
 
-def furniture(line: Column, rules: Rules) -> Column:
-    """Whether a line is page furniture."""
-    bare = F.lower(strip(line)) if rules.lowered else strip(line)
-    out = bare.isin(*rules.exact) if rules.exact else F.lit(False)
+def furniture(line: Column, bare: Column, rules: Rules) -> Column:
+    """Whether a line, ``bare`` being the same without white space at its edges, is page furniture."""
+    named = F.lower(bare) if rules.lowered else bare
+    out = named.isin(*rules.exact) if rules.exact else F.lit(False)
     for p in rules.prefixes:
-        out = out | bare.startswith(p)
+        out = out | named.startswith(p)
     for p in rules.patterns:
-        out = out | (strip(line) if rules.lowered else line).rlike(p)
+        out = out | (bare if rules.lowered else line).rlike(p)
     return out
 
 
-def clean_rows(lines: DataFrame, rules: Rules, key: str = "doc_id") -> DataFrame:
-    """The lines that stay, blank runs shrunk to one line and blank edges gone."""
-    order = Window.partitionBy(key).orderBy("line_no")
-    rows = lines
+def line_array(text: Column, line_end: str = LINE_END) -> Column:
+    """The lines of a text; a final line end makes no line of its own."""
+    body = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "^\ufeff+", ""), "\r\n?", "\n")
+    return bound(F.split(body, line_end, -1), lambda x: F.when((F.size(x) > 1) & (F.element_at(x, -1) == ""), F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x))
+
+
+def clean_lines(lines: Column, rules: Rules) -> Column:
+    """The lines that stay: blocks and furniture gone, blank runs shrunk to one line, none at the start. A line is in a
+    block if the last line before it that opens or closes one has opened it."""
+    end = "\r+$" if rules.keep_tails else f"{SPACE}+$"
+
+    def event(bare: Column) -> Column:
+        if not rules.block:
+            return F.lit(0)
+        return F.when(F.lower(bare) == rules.block[0], 1).when(F.lower(bare).startswith(rules.block[1]), -1).otherwise(0)
+
+    pairs = F.transform(lines, lambda x: F.struct(x.alias("raw"), strip(x).alias("bare")))
+    marked = F.transform(pairs, lambda x: F.struct(F.regexp_replace(x["raw"], end, "").alias("line"), (x["bare"] == "").alias("blank"), furniture(x["raw"], x["bare"], rules).alias("gone"), event(x["bare"]).alias("event")))
+
+    def outside(m: Column) -> Column:
+        opened = running_max(F.transform(m, lambda x, i: F.when(x["event"] == 0, 0).otherwise(2 * i + 2 + (x["event"] == 1).cast("int"))))
+        return bound(opened, lambda last: F.filter(m, lambda x, i: (x["event"] != 1) & ((i == 0) | (F.get(last, i - 1) % 2 == 0))))
+
     if rules.block:
-        opens, closes = F.lower(strip(F.col("line"))) == rules.block[0], F.lower(strip(F.col("line"))).startswith(rules.block[1])
-        event = F.when(opens, "open").when(closes, "close")
-        state = F.last(event, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-        inside = F.coalesce(state == "open", F.lit(False))
-        rows = rows.where(F.lit(True)).withColumn("gone", inside | opens).where(~F.col("gone")).drop("gone")
-    rows = rows.where(~furniture(F.col("line"), rules))
-    body = F.regexp_replace("line", "\r+$", "") if rules.keep_tails else F.regexp_replace("line", f"{SPACE}+$", "")
-    rows = rows.withColumn("line", body).withColumn("is_blank", strip(F.col("line")) == "")
-    rows = rows.withColumn("after_blank", F.coalesce(F.lag("is_blank").over(order), F.lit(True)))
-    return rows.where(~(F.col("is_blank") & F.col("after_blank"))).select(key, "line_no", "line")
+        marked = bound(marked, lambda m: F.when(F.exists(m, lambda x: x["event"] == 1), outside(m)).otherwise(m))
+    stay = F.filter(marked, lambda x: ~x["gone"])
+    return F.transform(bound(stay, lambda m: F.filter(m, lambda x, i: ~x["blank"] | ((i > 0) & ~F.get(m, i - 1)["blank"]))), lambda x: x["line"])
 
 
-def cleaned(docs: DataFrame, rules: Rules = SOURCE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, clean_text`` for each document, the lines of which are cleaned by ``rules``."""
-    rows = clean_rows(as_lines(docs, key, text, rules.line_end), rules, key)
-    joined = rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("clean_text"))
-    body = F.coalesce("clean_text", F.lit(""))
+def clean_text(text: Column, rules: Rules = SOURCE) -> Column:
+    """A text cleaned by ``rules`` in its row: nothing is exploded or moved."""
     ends = r"^\n+|\n+$" if rules.keep_tails else f"^{SPACE}+|{SPACE}+$"
-    return docs.select(key).join(joined, key, "left").select(key, F.regexp_replace(body, ends, "").alias("clean_text"))
+    return F.regexp_replace(F.array_join(clean_lines(line_array(text, rules.line_end), rules), "\n"), ends, "")
+
+
+def cleaned(docs: DataFrame, rules: Rules = SOURCE, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, clean_text`` for each document."""
+    return docs.select(key, clean_text(F.col(text), rules).alias("clean_text"))
 
 
 # Lines that hold one of these are dropped by ``redacted``.
@@ -114,19 +128,31 @@ def heading_sections(docs: DataFrame, mark: str = "## ", key: str = "doc_id", te
     rows = as_lines(docs, key, text, "\n").withColumn("is_head", F.col("line").startswith(mark))
     rows = rows.withColumn("section_no", F.sum(F.col("is_head").cast("int")).over(order)).where("section_no > 0")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("is_head"), F.struct("line_no", "line")))), lambda x: x["line"]), "\n")
-    title = F.trim(F.substring(F.max(F.when(F.col("is_head"), F.col("line"))), len(mark) + 1, 1_000_000))
+    title = F.trim(F.substr(F.max(F.when(F.col("is_head"), F.col("line"))), F.lit(len(mark) + 1)))
     return rows.groupBy(key, "section_no").agg(title.alias("title"), body.alias("body"))
 
 
+def first_line(rows: Column, pattern: str) -> Column:
+    """The index of the first line that matches; null if none does."""
+    return F.array_min(F.filter(F.transform(rows, lambda x, i: F.when(x.rlike(pattern), i)), lambda i: i.isNotNull()))
+
+
+def block_from(rows: Column, at: Column, stops: tuple[str, ...]) -> Column:
+    """The lines from index ``at`` to the earliest later one that matches a stop, as one stripped text; null without a
+    start or if nothing is left."""
+
+    def cut(at: Column) -> Column:
+        stop = F.size(rows)
+        if stops:
+            stop = F.coalesce(F.array_min(F.filter(F.transform(rows, lambda x, i: F.when((i > at) & _matches(x, stops), i)), lambda i: i.isNotNull())), F.size(rows))
+        return F.when(at.isNotNull(), F.nullif(strip(F.array_join(F.slice(rows, at + 1, F.greatest(stop - at, F.lit(0))), "\n")), F.lit("")))
+
+    return bound(at, cut)
+
+
 def line_block(rows: Column, start: str, stops: tuple[str, ...]) -> Column:
-    """The lines from the first that matches ``start`` to the earliest later one that matches a stop, as one stripped
-    text; null if no line starts or nothing is left."""
-    at = F.array_min(F.filter(F.transform(rows, lambda x, i: F.when(x.rlike(start), i)), lambda i: i.isNotNull()))
-    stop = F.size(rows)
-    if stops:
-        hit = lambda x: _matches(x, stops)
-        stop = F.coalesce(F.array_min(F.filter(F.transform(rows, lambda x, i: F.when((i > at) & hit(x), i)), lambda i: i.isNotNull())), F.size(rows))
-    return F.when(at.isNotNull(), F.nullif(strip(F.array_join(F.slice(rows, at + 1, F.greatest(stop - at, F.lit(0))), "\n")), F.lit("")))
+    """The block from the first line that matches ``start``."""
+    return block_from(rows, first_line(rows, start), stops)
 
 
 def _matches(x: Column, patterns: tuple[str, ...]) -> Column:

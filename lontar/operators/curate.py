@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.functions.text import blank
+from lontar.functions.text import blank, bound
 
 SEED = 3407
 SHARES = (0.70, 0.15)
@@ -32,12 +32,19 @@ def record_hash(sha: Column, name: Column) -> Column:
 
 def hash_split(rows: DataFrame, group: str, key: str, seed: int = SEED) -> DataFrame:
     """``rows`` with ``split``: in each group 70 % sft and 15 % grpo (rounded half to even), the rest benchmark, in the
-    order of a seeded hash. Ranks come from a window over the group's hashes alone."""
+    order of a seeded hash. A row's rank is its rank among the rows of its hash range plus what the ranges before hold,
+    so no task holds a group."""
     order = F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256)
-    w = Window.partitionBy(group)
-    rows = rows.withColumn("_n", F.count("*").over(w)).withColumn("_r", F.row_number().over(w.orderBy(order, key)))
-    sft, grpo = (F.bround(F.col("_n") * s).cast("int") for s in SHARES)
-    return rows.withColumn("split", F.when(F.col("_r") <= sft, "sft").when(F.col("_r") <= sft + grpo, "grpo").otherwise("benchmark")).drop("_n", "_r")
+    rows = rows.withColumn("_h", order).withColumn("_range", F.substring("_h", 1, 3))
+    sizes = rows.groupBy(group, "_range").agg(F.count("*").alias("_in"))
+    ranges = Window.partitionBy(group).orderBy("_range")  # 4096 rows of a group at most
+    sizes = sizes.withColumns({"_before": F.coalesce(F.sum("_in").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_n": F.sum("_in").over(Window.partitionBy(group))})
+    r, s = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_range").orderBy("_h", key))).alias("r"), sizes.alias("s")
+    both = r.join(s, F.col(f"r.{group}").eqNullSafe(F.col(f"s.{group}")) & (F.col("r._range") == F.col("s._range")))
+    place = F.col("r._r") + F.col("s._before")
+    sft, grpo = (F.bround(F.col("s._n") * x).cast("int") for x in SHARES)
+    kept = [F.col(f"r.`{c}`") for c in rows.columns if c not in ("_h", "_range")]
+    return both.select(*kept, F.when(place <= sft, "sft").when(place <= sft + grpo, "grpo").otherwise("benchmark").alias("split"))
 
 
 def exact_split(rows: DataFrame, group: str, key: str, seed: int = SEED) -> DataFrame:
@@ -73,15 +80,21 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = 13) -> DataFram
     """``doc_id, item_id`` where a document holds a benchmark item's text: only pairs that share one word n-gram of the
     item, that of the least hash, are compared, by containment of the whole text. The n-gram leaves out the item's first
     and last word, which the document may have glued to other characters; a short item's n-gram is all its inner words,
-    and items of one or two words are tested against every document."""
+    and items of one or two words are tested against every document. A text is split and its words are hashed once; an
+    n-gram's hash is that of its words' hashes."""
     split = lambda c: F.filter(F.split(c, r"[ \t\n\x0B\f\r]+"), lambda x: x != "")
-    gram = lambda ws, i, n: F.xxhash64(F.array_join(F.slice(ws, i + 1, n), " "))
-    i = items.where("text is not null").select("item_id", F.col("text").alias("item_text"), split(F.col("text")).alias("ws")).withColumn("n", F.least(F.size("ws") - 2, F.lit(words)))
-    long = i.where("n > 0")
-    g = long.select("item_id", "item_text", "n", F.array_min(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("n") - 1), lambda k: gram(F.col("ws"), k, F.col("n")))).alias("gram"))
-    lengths = F.broadcast(long.select("n").distinct())  # at most ``words`` rows
-    d = docs.select("doc_id", split(F.col("text")).alias("ws")).crossJoin(lengths).where(F.size("ws") >= F.col("n"))
-    d = d.select("doc_id", "n", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("ws") - F.col("n")), lambda k: gram(F.col("ws"), k, F.col("n"))))).alias("gram"))
+    hashes = lambda c: F.transform(split(c), lambda w: F.xxhash64(w))
+    gram = lambda ws, i, n: F.xxhash64(F.slice(ws, i + 1, n))
+    i = items.where("text is not null").select("item_id", F.col("text").alias("item_text"), hashes(F.col("text")).alias("ws")).withColumn("n", F.least(F.size("ws") - 2, F.lit(words)))
+    inner = bound(F.struct("ws", "n"), lambda x: F.array_min(F.transform(F.sequence(F.lit(1), F.size(x["ws"]) - x["n"] - 1), lambda k: gram(x["ws"], k, x["n"]))))
+    g = i.where("n > 0").select("item_id", "item_text", "n", inner.alias("gram"))
+    lengths = F.broadcast(g.select("n").distinct())  # at most ``words`` rows
+
+    def grams(x: Column) -> Column:
+        at = F.when(F.size(x["ws"]) >= x["n"], F.sequence(F.lit(0), F.size(x["ws"]) - x["n"])).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(at, lambda k: gram(x["ws"], k, x["n"])))
+
+    d = docs.crossJoin(lengths).select("doc_id", "n", F.explode(bound(F.struct(hashes(F.col("text")).alias("ws"), F.col("n").alias("n")), grams)).alias("gram"))
     hits = d.join(g, ["n", "gram"]).select("doc_id", "item_id", "item_text")
     hits = hits.join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", F.col("item_text"))).select("doc_id", "item_id")
     short = i.where("n <= 0").select("item_id", "item_text")

@@ -19,8 +19,8 @@ def first_of(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def fullest_of(rows: DataFrame, key: str, fullness: str, order: str) -> DataFrame:
     """The fullest row of each key, the first of equally full ones."""
-    w = Window.partitionBy(key).orderBy(F.desc(fullness), order)
-    return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    best = F.min_by(F.struct(*rows.columns), F.struct((-F.col(fullness)).alias("less"), F.col(order).alias("o")))
+    return rows.groupBy(F.col(key).alias("_key")).agg(best.alias("_row")).select("_row.*")
 
 
 def provenance(rows: DataFrame, key: str, fullness: str, order: str, model: str) -> DataFrame:
@@ -34,25 +34,22 @@ def provenance(rows: DataFrame, key: str, fullness: str, order: str, model: str)
     return winner.join(also, key, "left").withColumn("also_by", F.coalesce(F.array_distinct(F.concat("b", "a")), F.array().cast("array<string>"))).drop("a", "b")
 
 
-def greedy(rows: DataFrame, order: str, keys: list[str], rounds: int = 200) -> DataFrame:
+def greedy(rows: DataFrame, order: str, keys: list[str]) -> DataFrame:
     """``rows`` with ``duplicate``: in order, a row is one iff one of its keys equals that of an earlier row that was
     kept. Empty and null keys match nothing; keys of dropped rows do not count; ``order`` is unique.
 
     Rounds decide all rows whose earlier neighbours are decided: a row whose key belongs to a kept earlier row is
-    dropped, and one without an undecided earlier row of any of its keys is kept. Each round compares a row with its
+    dropped, and one without an undecided earlier row of any of its keys is kept. The first undecided row is decided in
+    every round, so they end; how many there are is the length of the longest chain of rows. Each round compares a row with its
     key's least kept and least undecided row, so nothing pairs up a key's rows.
     """
     long = reduce(DataFrame.unionByName, [rows.where(F.coalesce(F.col(k).cast("string"), F.lit("")) != "").select(F.col(order).alias("o"), F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in keys])
     long = cut(long.groupBy("kind", "value", "o").agg(F.lit(1).alias("_")).drop("_"))
     state = cut(rows.select(F.col(order).alias("o"), F.lit("?").alias("state")))
-    for _ in range(rounds):
+    while not state.where("state = '?'").isEmpty():
         known = long.join(state, "o")
         least = known.groupBy("kind", "value").agg(F.min(F.when(F.col("state") == "kept", F.col("o"))).alias("kept"), F.min(F.when(F.col("state") == "?", F.col("o"))).alias("open"))
         seen = known.where("state = '?'").join(least, ["kind", "value"]).groupBy("o").agg(F.bool_or(F.col("kept") < F.col("o")).alias("hit"), F.bool_or(F.col("open") < F.col("o")).alias("waits"))
         verdict = F.when(F.col("state") != "?", F.col("state")).when(F.coalesce("hit", F.lit(False)), "dropped").when(F.coalesce("waits", F.lit(False)), "?").otherwise("kept")
         state = cut(state.join(seen, "o", "left").select("o", verdict.alias("state")))
-        if state.where("state = '?'").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"greedy deduplication has not settled in {rounds} rounds")
     return rows.join(state.select(F.col("o").alias(order), (F.col("state") == "dropped").alias("duplicate")), order)

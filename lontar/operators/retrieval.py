@@ -35,8 +35,10 @@ def top_similar(vectors: DataFrame, query: list[float], k: int) -> DataFrame:
     return vectors.withColumn("score", cosine(F.col("embedding"), q)).orderBy(F.desc("score"), "vec_id").limit(k)
 
 
-def fused(structure: DataFrame, meaning: DataFrame, key: str, weight: float) -> DataFrame:
-    """Candidates of both sides ranked by the weighted sum of their scores, a missing score being 0."""
+def fused(structure: DataFrame, meaning: DataFrame, key: str, weight: float, k: int | None = None) -> DataFrame:
+    """Candidates of both sides ranked by the weighted sum of their scores, a missing score being 0; the first ``k`` of
+    them, which are picked before the ranks are counted."""
     both = structure.select(key, F.col("score").alias("s"), F.lit(0.0).alias("m")).unionByName(meaning.select(key, F.lit(0.0).alias("s"), F.col("score").alias("m")))
     ranked = both.groupBy(key).agg(F.max("s").alias("s"), F.max("m").alias("m")).withColumn("score", weight * F.col("s") + (1 - weight) * F.col("m"))
+    ranked = ranked.orderBy(F.desc("score"), key).limit(k) if k else ranked
     return ranked.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), key)))

@@ -46,9 +46,9 @@ def take_while_pagination(spark: SparkSession, folder: str) -> DataFrame:
     return html.case_links(html.anchors(table(spark, folder, "pages")), _case(), _paging())
 
 
-@query(r"SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\s+', ' ', 'g')), '') AS title FROM pages WHERE regexp_matches(html, '(?is)<h1\b[^>]*>\s*[^\s<]')")
+@query(r"SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\s+', ' ', 'g')), '') AS title FROM pages")
 def page_titles(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").where(F.col("html").rlike(r"(?is)<h1\b[^>]*>\s*[^\s<]")).select("page_id", html.title(F.col("html")).alias("title"))
+    return table(spark, folder, "pages").select("page_id", html.title(F.col("html")).alias("title"))
 
 
 @query(r"SELECT page_id, regexp_matches(lower(html), 'just a moment|checking if the site connection is secure|verify you are human|needs to review the security of your connection|performing security verification|cf-challenge|cf-turnstile') AS by_page, regexp_matches(lower(regexp_replace(html, '<[^>]+>', ' ', 'g')), 'checking if the site connection is secure|verify you are human|needs to review the security of your connection') OR contains(lower(regexp_extract(html, '(?i)<title[^>]*>\s*([^<]+)', 1)), 'just a moment') AS by_text FROM pages")
@@ -92,15 +92,14 @@ def inventory_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    r"""WITH n AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(replace(trim(split_part(url, '//', 2)), '/', '_'), '[\x00-\x1f<>:"|?*]+', '_', 'g'), '\s+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g') AS s FROM pages WHERE NOT contains(url, '%') AND NOT contains(url, '+'))
+    r"""WITH n AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(replace(trim(split_part(url, '//', 2)), '/', '_'), '[\x00-\x1f<>:"|?*]+', '_', 'g'), '\s+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g') AS s FROM (SELECT page_id, url_decode(replace(url, '+', '%2B')) AS url FROM pages))
 SELECT page_id, CASE WHEN lower(s) LIKE '%.pdf' THEN s ELSE s || '.pdf' END AS name, CASE WHEN r = 1 THEN stem || '.pdf' ELSE stem || '-' || r || '.pdf' END AS unique_name
 FROM (SELECT *, left(s, 4) AS stem, row_number() OVER (PARTITION BY left(s, 4) ORDER BY page_id) AS r FROM n)"""
 )
 def sanitize_filenames(spark: SparkSession, folder: str) -> DataFrame:
     from pyspark.sql.window import Window
 
-    rows = table(spark, folder, "pages").where(~F.contains("url", F.lit("%")) & ~F.contains("url", F.lit("+")))
-    rows = rows.select("page_id", urls.sanitized(F.substring_index("url", "//", -1)).alias("name"))
+    rows = table(spark, folder, "pages").select("page_id", urls.sanitized(F.substring_index("url", "//", -1)).alias("name"))
     stem = F.left("name", F.lit(4))
     r = F.row_number().over(Window.partitionBy(stem).orderBy("page_id"))
     return rows.select("page_id", "name", F.when(r == 1, F.concat(stem, F.lit(".pdf"))).otherwise(F.concat(stem, F.lit("-"), r.cast("string"), F.lit(".pdf"))).alias("unique_name"))

@@ -116,7 +116,7 @@ def tolerant_json_props(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with a byte-order mark, blank and broken ones, read without failing."""
     from lontar.sources.readers import tolerant_json
 
-    line = F.when(F.col("event_id") % 5 == 0, F.substring("props", 2, 1000)).when(F.col("event_id") % 7 == 0, "  ").otherwise(F.concat(F.lit("﻿"), "props"))
+    line = F.when(F.col("event_id") % 5 == 0, F.substr("props", F.lit(2))).when(F.col("event_id") % 7 == 0, "  ").otherwise(F.concat(F.lit("﻿"), "props"))
     return tolerant_json(table(spark, folder, "events").select("event_id", line.alias("line")), "line", "k int").select("event_id", "k")
 
 
@@ -133,13 +133,13 @@ _ERROR = "CASE event_id % 4 WHEN 0 THEN 'HTTP: Connection Refused by peer' WHEN
 
 
 @query(
-    f"""WITH e AS (SELECT event_id, {_STATUS} AS status, {_ERROR} AS error, event_type = 'click' AS json_mode FROM events WHERE event_type <> 'view')
+    f"""WITH e AS (SELECT event_id, {_STATUS} AS status, {_ERROR} AS error, event_type = 'click' AS json_mode FROM events)
 SELECT event_id, regexp_matches(lower(error), 'nameresolutionerror|failed to resolve|getaddrinfo failed|newconnectionerror|connecttimeout|connection refused|connection reset|connection aborted|proxyerror|retryable http 429|rate_limit_exceeded|concurrency limit reached|project limit reached') AS infra,
   status = 429 AND regexp_matches(lower(error), 'concurrency limit reached|rate_limit_exceeded|project limit reached') AS refused,
   CASE WHEN status = 400 AND json_mode THEN 'retry_plain' WHEN status = 429 OR status >= 500 THEN 'retry' WHEN status >= 400 THEN 'fatal' ELSE 'ok' END AS outcome FROM e"""
 )
 def error_classification(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "events").where("event_type <> 'view'").selectExpr("event_id", "event_type", f"{_STATUS} AS status", f"{_ERROR} AS error")
+    rows = table(spark, folder, "events").selectExpr("event_id", "event_type", f"{_STATUS} AS status", f"{_ERROR} AS error")
     return rows.select("event_id", T.infrastructure_error(F.col("error")).alias("infra"), T.concurrency_refused(F.col("status"), F.col("error")).alias("refused"), T.http_outcome(F.col("status"), F.col("event_type") == "click").alias("outcome"))
 
 

@@ -84,7 +84,7 @@ def url_list(spark: SparkSession, path: str) -> DataFrame:
 def event_stream(bodies: DataFrame, key: str, body: str) -> DataFrame:
     """``key, content, reasoning, finish_reason, total_tokens`` of server-sent event bodies: data lines up to [DONE]."""
     kind = "choices array<struct<delta: struct<content: string, reasoning: string>, finish_reason: string>>, usage struct<total_tokens: bigint>"
-    rows = bodies.select(key, F.posexplode(F.split(body, "\r?\n")).alias("pos", "line")).where(F.col("line").startswith("data: ")).withColumn("data", F.trim(F.substring("line", 7, 1_000_000)))
+    rows = bodies.select(key, F.posexplode(F.split(body, "\r?\n")).alias("pos", "line")).where(F.col("line").startswith("data: ")).withColumn("data", F.trim(F.substr("line", F.lit(7))))
     stop = F.coalesce(F.min(F.when(F.col("data") == "[DONE]", F.col("pos"))), F.lit(1 << 30))
     stops = rows.groupBy(key).agg(stop.alias("stop"))
     events = rows.join(stops, key).where("pos < stop").withColumn("e", F.from_json("data", kind, {"mode": "FAILFAST"}))
@@ -111,11 +111,34 @@ def last_token_count(content: Column) -> Column:
 
 
 def rate_limit_event(body: Column, marker: str) -> Column:
-    """The JSON object after a marker in a log body, what follows it left out: cut at the bracket that closes it."""
-    tail = F.substr(body, F.instr(body, F.lit(marker)) + len(marker), F.length(body))
-    ends = F.filter(F.transform(F.sequence(F.lit(1), F.length(tail)), lambda i: F.when(F.substr(tail, i, F.lit(1)) == "}", i)), lambda i: i.isNotNull())
-    cuts = F.transform(ends, lambda i: F.substr(tail, F.lit(1), i))
-    return F.when(F.instr(body, F.lit(marker)) > 0, F.get(F.filter(cuts, lambda x: F.try_parse_json(x).isNotNull()), 0))
+    """The JSON object after a marker in a log body, what follows it left out: cut at the bracket that closes it. One
+    pass over the object, with depth and whether the place is inside a string as state."""
+    tail = F.substr(body, F.instr(body, F.lit(marker)) + len(marker))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(0).alias("n"), F.lit(0).alias("end"))
+
+    def step(acc: Column, c: Column) -> Column:
+        plain = ~acc["quoted"]
+        depth = acc["depth"] + F.when(plain & (c == "{"), 1).when(plain & (c == "}"), -1).otherwise(0)
+        n = acc["n"] + 1
+        quoted = F.when((c == '"') & ~acc["escaped"], plain).otherwise(acc["quoted"])
+        escaped = acc["quoted"] & (c == "\\") & ~acc["escaped"]
+        end = F.when((acc["end"] == 0) & (depth == 0), n).otherwise(acc["end"])
+        return F.struct(depth.alias("depth"), quoted.alias("quoted"), escaped.alias("escaped"), n.alias("n"), end.alias("end"))
+
+    end = F.aggregate(F.regexp_extract_all(tail, F.lit("(?s)."), F.lit(0)), start, step, lambda acc: acc["end"])
+    cut = F.substr(tail, F.lit(1), end)
+    return F.when((F.instr(body, F.lit(marker)) > 0) & F.try_parse_json(cut).isNotNull(), F.nullif(cut, F.lit("")))
+
+
+def current_limit(events: DataFrame, body: str, at: str, marker: str, now: Column, least_age: int = 3600) -> DataFrame:
+    """The newest rate-limit event (``at`` in seconds) as ``at, used_percent, window_seconds, resets_at``; none if its
+    reset has passed or it is older than its window (an hour at least)."""
+    fields = "primary struct<used_percent: double, window_minutes: bigint, resets_at: bigint>"
+    rows = events.select(F.col(at).alias("at"), F.from_json(rate_limit_event(F.col(body), marker), fields).alias("e")).where("e.primary is not null")
+    newest = rows.agg(F.max_by(F.struct("at", "e"), F.col("at")).alias("r")).where("r is not null")
+    found = newest.select("r.at", F.col("r.e.primary.used_percent").alias("used_percent"), (60 * F.col("r.e.primary.window_minutes")).alias("window_seconds"), F.col("r.e.primary.resets_at").alias("resets_at"))
+    fresh = F.coalesce(F.col("resets_at") > now, F.lit(True)) & (now - F.col("at") <= F.greatest(F.coalesce("window_seconds", F.lit(0)), F.lit(least_age)))
+    return found.where(fresh)
 
 
 def message_content(body: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -21,14 +21,31 @@ def append_log(rows: DataFrame, path: str) -> None:
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Writes beside ``path`` and renames, so a reader sees the old table or the new one."""
+    """Writes beside ``path``, moves the old table aside, the new one in, and deletes the old one. A failure at any step
+    leaves a whole table: ``current_table`` brings back an old one whose successor has not arrived."""
     spark = rows.sparkSession
-    made = f"{path}.tmp-{uuid.uuid4().hex}"
+    made, old = f"{path}.tmp-{uuid.uuid4().hex}", f"{path}.old"
+    current_table(spark, path)
     rows.write.parquet(made)
-    where, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, made))
+    where, new, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, made, old))
     files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(where, True)
-    files.rename(new, where)
+    if files.exists(where) and not files.rename(where, aside):
+        raise OSError(f"can't move {path} aside")
+    if not files.rename(new, where):
+        raise OSError(f"can't move {made} to {path}")
+    files.delete(aside, True)
+
+
+def current_table(spark: SparkSession, path: str) -> str:
+    """``path``, after an interrupted ``replace_table`` has been undone or ended."""
+    where, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.old"))
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(aside):
+        if files.exists(where):
+            files.delete(aside, True)
+        else:
+            files.rename(aside, where)
+    return path
 
 
 def write_splits(rows: DataFrame, path: str) -> None:

@@ -40,6 +40,32 @@ def test_numbered_and_sliced(spark):
     assert r.cut == "r11\nr12"
 
 
+def test_cleaners_equal_a_line_by_line_model(spark):
+    rng = random.Random(8)
+    bits = ["Disclaimer", "Email : x", " isi ", "", "  ", "Halaman 3", "halaman 1 dari 2", "putusan3.mahkamahagung.go.id", "Mahkamah Agung Republik Indonesia", "a\t", "DISCLAIMER "]
+    texts = ["\n".join(rng.choices(bits, k=rng.randint(0, 25))) for _ in range(150)]
+
+    def model(text):
+        out, inside = [], False
+        for line in text.splitlines():
+            bare = line.strip()
+            if inside:
+                inside = not bare.lower().startswith("email :")
+                continue
+            if bare.lower() == "disclaimer":
+                inside = True
+                continue
+            if bare in clean.SOURCE.exact or bare.lower().startswith("halaman"):
+                continue
+            if bare or (out and out[-1]):
+                out.append(line.rstrip())
+        return "\n".join(out).strip()
+
+    got = {r.doc_id: r.clean_text for r in clean.cleaned(docs(spark, *texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [model(t) for t in texts]
+    assert "Exchange" not in clean.cleaned(docs(spark, "a"))._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize(
     "value, strict, lenient",
     [
@@ -218,7 +244,8 @@ def test_bootstrap_query_draws_2000_resamples(spark, tmp_path):
     steps = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183)
     means = []
     for b in range(2000):
-        u = [int(hashlib.sha256(f"lontar:{b}:{i}".encode()).hexdigest()[:13], 16) / (1 << 52) for i in range(12)]
+        at = b % 8 * 8
+        u = [int(hashlib.sha256(f"lontar:{b // 8}:{i}".encode()).hexdigest()[at : at + 8], 16) / (1 << 32) for i in range(12)]
         n = [sum(x >= s for s in steps) for x in u]
         if sum(n):
             means.append(sum(k * len(t) for k, t in zip(n, texts, strict=True)) / sum(n))
@@ -278,6 +305,48 @@ def test_sinks(spark, tmp_path):
     assert sinks.empty_records(docs(spark, ""), spans.SECTIONS).first().status == "no_text"
 
 
+def test_replace_table_survives_a_stop_between_its_steps(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(3), path)
+    os.rename(path, f"{path}.old")  # stopped after the old table went aside
+    assert spark.read.parquet(sinks.current_table(spark, path)).count() == 3
+    sinks.replace_table(spark.range(5), path)
+    spark.range(9).write.parquet(f"{path}.old")  # stopped before the old table was deleted
+    assert spark.read.parquet(sinks.current_table(spark, path)).count() == 5 and not os.path.exists(f"{path}.old")
+
+
+def test_long_lines_of_streams_and_titles_stay_whole(spark):
+    long = "x" * 1_200_000
+    body = 'data: {"choices":[{"delta":{"content":"' + long + '"}}]}'
+    s = readers.event_stream(spark.createDataFrame([(1, body)], "k long, body string"), "k", "body").first()
+    assert s.content == long
+    assert clean.heading_sections(docs(spark, f"## {long}\nisi")).first().title == long
+
+
+def test_rate_limit_events(spark):
+    event = '{"type":"e","primary":{"used_percent":41.5,"window_minutes":300,"resets_at":%d},"s":"} \\" {"}'
+    rows = [(100, f"x EV: {event % 900} tail}}"), (200, f"EV: {event % 5000}}}"), (300, "EV: {broken"), (250, "none")]
+    df = spark.createDataFrame(rows, "at long, body string")
+    r = df.select("at", readers.rate_limit_event(F.col("body"), "EV: ").alias("e")).orderBy("at").collect()
+    assert [x.e for x in r] == [event % 900, event % 5000, None, None]
+    get = lambda now: [tuple(x) for x in readers.current_limit(df, "body", "at", "EV: ", F.lit(now)).collect()]
+    assert get(1000) == [(200, 41.5, 18000, 5000)] and get(5000) == [] and get(200 + 18001) == []
+
+
+def test_page_titles_fall_back(spark):
+    title = lambda x: one(spark, t=html.title(F.lit(x))).t
+    assert title("<h1> </h1><h2>dua</h2>") == "dua" and title("<h3>tiga</h3><title>t</title>") == "tiga"
+    assert title('<div class="x entry-title">masuk</div><title>t</title>') == "masuk" and title('<p class="post-title">pos</p>') == "pos"
+    assert title("<title>akhir</title>") == "akhir" and title("<p>x</p>") is None
+
+
+def test_names_with_escapes(spark):
+    name = lambda x: one(spark, t=urls.sanitized(F.lit(x))).t
+    assert (name("a%20b%2Fc"), name("50%"), name("a+b"), name("%zz.pdf"), name(" . ")) == ("a b_c.pdf", "50%.pdf", "a+b.pdf", "%zz.pdf", "putusan.pdf")
+
+
 def test_rewards(spark):
     r = one(spark, a=rewards.answer(F.lit("42"), F.lit("42")), b=rewards.answer(F.lit(None).cast("string"), F.lit("1")), c=rewards.number(F.lit("x"), F.lit("1")), d=rewards.language(F.lit("und"), "id"), e=rewards.extractive(F.lit(False), F.lit(0), F.lit(0), F.lit(1.0), F.lit(1.0), F.lit(True), F.lit(0.0), True))
     assert (r.a, r.b, r.c, r.d, r.e) == (5.0, -2.0, -2.5, -5.0, 0.0)
