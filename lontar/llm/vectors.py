@@ -24,6 +24,8 @@ from lontar.llm.components import components
 PIVOTS, NEAREST, SHARED = 256, 9, 3
 APART = 0.9
 COSINE = 0.98
+#: Lists of more vectors are compared in blocks of so many rows, by matrix products; shorter ones by a join.
+LONG_LIST, LIST_BLOCK = 32, 512
 
 TABLES, PROJECTIONS = 8, 4
 #: Cell widths, in spreads of the projections, and numbers of probes that an index chooses from, and the recall that it
@@ -76,13 +78,76 @@ def reference_points(found: np.ndarray | None, width: int, n: int = PIVOTS, seed
     return np.concatenate([np.array(chosen).reshape(-1, width), rest / np.linalg.norm(rest, axis=1)[:, None]])
 
 
+def first_codes(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The code of the first list that each of some pairs of rows shares: that of its least common pivots."""
+    common = (near[a][:, :, None] == near[b][:, None, :]).any(2)
+    order = np.cumsum(common, axis=1)
+    code = np.zeros(len(a), np.int64)
+    for j in range(SHARED):
+        at = np.argmax(common & (order == j + 1), axis=1)
+        code = code * PIVOTS + near[a, at]
+    return code
+
+
+def least_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``n`` rows the least row that links lead to."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _long_lists(entries: DataFrame, reps: DataFrame, cosine: float) -> DataFrame:
+    """``k1, k2, n, r1, r2``: how many copies of other vectors each vector of a long list links with, and one vector
+    that it is connected with, block by block of ``LIST_BLOCK`` rows or so against each other. What leaves a block is a
+    row for each vector, not for each link."""
+    spans = entries.withColumn("subs", F.ceil(F.col("n") / LIST_BLOCK)).withColumn("sub", F.pmod(F.xxhash64("k1", "k2"), F.col("subs")))
+    spans = spans.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)))
+    spans = spans.select("label", "width", "code", F.least("sub", "other").alias("lo"), F.greatest("sub", "other").alias("hi"), "sub", "k1", "k2", "near")
+    rows = spans.join(reps.select("k1", "k2", "copies", "embedding"), ["k1", "k2"])
+
+    def run(table: pa.Table) -> pa.Table:
+        x = matrix(table.column("embedding").combine_chunks())
+        near = np.array(table.column("near").to_pylist(), np.int64)
+        sub, copies = table.column("sub").to_numpy(), table.column("copies").to_numpy()
+        code, lo, hi = (table.column(c)[0].as_py() for c in ("code", "lo", "hi"))
+        norms = np.sqrt((x * x).sum(1))
+        left, right = np.flatnonzero(sub == lo), np.flatnonzero(sub == hi)
+        close = (x[left] @ x[right].T) / norms[left][:, None] / norms[right]
+        i, j = np.nonzero(close >= cosine - 1e-9)
+        a, b = left[i], right[j]
+        if lo == hi:
+            a, b = a[a < b], b[a < b]
+        parts = []
+        for at in range(0, len(a), 1 << 16):
+            p, q = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
+            keep = ((x[p] * x[q]).sum(1) / (norms[p] * norms[q]) >= cosine) & (first_codes(near, p, q) == code)
+            parts.append((p[keep], q[keep]))
+        a, b = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in (0, 1))
+        n = np.bincount(a, copies[b], len(x)) + np.bincount(b, copies[a], len(x))
+        root, some = least_roots(len(x), a, b), np.flatnonzero(n)
+        take, to = pa.array(some), pa.array(root[some], mask=root[some] == some)
+        return pa.table({"k1": table.column("k1").take(take), "k2": table.column("k2").take(take), "n": pa.array(n[some].astype(np.int64)), "r1": table.column("k1").take(to), "r2": table.column("k2").take(to)})
+
+    return rows.groupBy("label", "width", "code", "lo", "hi").applyInArrow(run, "k1 long, k2 long, n long, r1 long, r2 long")
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors(vec_id, embedding, label)``.
 
     Pivot-permutation index: each vector is described by its ``NEAREST`` nearest of ``PIVOTS`` reference points, from a
     bounded sample and at random (all at random for a number of components that the sample does not hold). Inverted lists are kept for triples of pivots, so two vectors meet in a list as soon as they share
     ``SHARED`` pivots, and a list is far shorter than one of a single pivot. A pair counts in the first of its lists
-    only; the shared count decides, then the cosine. Rows with equal vectors and labels are one entry of the index,
+    only; the shared count decides, then the cosine. Long lists, such as those of dense groups or of vectors in a cone, are
+    compared in blocks, which give counts and a spanning forest of the links, not the links. Rows with equal vectors and labels are one entry of the index,
     and count as links of each other. Vectors without a label, and those that take no part, have no links and are
     their own component. Repeated rows count as vectors of their own; a row without vec_id has component null unless
     its links have ids.
@@ -109,8 +174,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     kind = vectors.schema["label"].dataType.simpleString()
     described = shelf.put(reps.select("k1", "k2", "label", "embedding").mapInArrow(lists, f"k1 long, k2 long, label {kind}, width int, near array<smallint>, codes array<long>"))
-    entries = described.select("label", "width", F.explode("codes").alias("code"), F.struct("k1", "k2").alias("v"), "near")
-    a, b = entries.alias("a"), entries.alias("b")
+    key = ["label", "width", "code"]
+    entries = described.select("label", "width", F.explode("codes").alias("code"), "k1", "k2", "near")
+    sizes = shelf.put(entries.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"))
+    entries = entries.join(sizes, key)
+    short = entries.where(F.col("n") <= LONG_LIST).select(*key, F.struct("k1", "k2").alias("v"), "near")
+    a, b = short.alias("a"), short.alias("b")
     common = F.array_intersect("a.near", "b.near")
     first = F.lit(0).cast("long")
     for j in range(shared):
@@ -132,12 +201,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     name = lambda s: reps.select(F.col("k1").alias(f"{s}1"), F.col("k2").alias(f"{s}2"), F.col("rep").alias(s), F.col("copies").alias(f"{s}n"))
     named = shelf.put(linked.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"]))
-    shelf.drop(described, linked)
-    each = named.select("a1", "a2", "bn").toDF("k1", "k2", "n").union(named.select("b1", "b2", "an").toDF("k1", "k2", "n")).groupBy("k1", "k2").agg(F.sum("n").alias("others"))
-    found = components(named.select("a", "b").where("a is not null and b is not null"), shelf).withColumnRenamed("node", "rep")
+    dense = shelf.put(_long_lists(entries.where(F.col("n") > LONG_LIST), reps, cosine))
+    roots = dense.where("r1 is not null").join(name("a").toDF("k1", "k2", "a", "an"), ["k1", "k2"]).join(name("b").toDF("r1", "r2", "b", "bn"), ["r1", "r2"])
+    shelf.drop(described, linked, sizes)
+    each = named.select("a1", "a2", "bn").toDF("k1", "k2", "n").union(named.select("b1", "b2", "an").toDF("k1", "k2", "n")).union(dense.select("k1", "k2", "n")).groupBy("k1", "k2").agg(F.sum("n").alias("others"))
+    found = components(named.select("a", "b").union(roots.select("a", "b")).where("a is not null and b is not null"), shelf).withColumnRenamed("node", "rep")
     classes = reps.join(each, ["k1", "k2"], "left").join(found, "rep", "left")
     classes = shelf.put(classes.select("k1", "k2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component")))
-    shelf.drop(reps, named)
+    shelf.drop(reps, named, dense)
     marked = base.select("vec_id", *[F.when(takes_part, k).alias(n) for n, k in keys.items()])
     out = marked.join(classes, ["k1", "k2"], "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

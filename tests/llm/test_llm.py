@@ -367,6 +367,23 @@ def test_vectors(spark):
     assert vectors.op3(df.where("false")).count() == vectors.op7(df.where("false")).count() == 0
 
 
+def test_dense_groups_and_cones(spark, monkeypatch):
+    """Long lists in small blocks: links among hundreds of different vectors, counted and joined exactly."""
+    monkeypatch.setattr(vectors, "LIST_BLOCK", 40)
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(3, 24))
+    x = np.concatenate([base[rng.integers(3, size=250)] + 0.1 * rng.normal(size=(250, 24)), 4 + 0.9 * rng.normal(size=(120, 24))])
+    rows = [(i, [float(v) for v in r], int(i % 5 == 0)) for i, r in enumerate(x.astype(np.float32))]
+    rows += [(370 + i, rows[i][1], rows[i][2]) for i in range(0, 60, 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    links = vector_links(rows)
+    want, degree = classes(600, links), Counter(v for p in links for v in p)
+    got = {r.vec_id: r for r in vectors.op3(df).collect()}
+    assert len(links) > 2000 and sum(r.n_links for r in got.values()) == 2 * len(links)
+    for i, r in got.items():
+        assert (r.n_links, r.component_id) == (degree[i], want[i])
+
+
 @pytest.mark.parametrize("width", [16, 64, 256])
 def test_index_finds_pairs_at_the_threshold(width):
     """Recall of the lists themselves: pairs at a cosine of 0.9801, among directions at random and in a cone."""
