@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lontar.functions import urls
-from lontar.functions.text import has_any
+from lontar.functions.text import fold, has_any
 
 ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
 
@@ -79,6 +79,31 @@ def published(anchor_rows: DataFrame, html: str, key: str = "page_id") -> DataFr
     return rows.withColumn("unpublished", bad).where("is_boundary and not unpublished")
 
 
+def listing(pages: DataFrame, prefix: str | None = None, skip_unpublished: bool = True, key: str = "page_id") -> DataFrame:
+    """``key, pos, case_url`` of the case links of listing pages in order, each once for its page: of the accepted host
+    and path, with a label that begins with ``prefix`` in any case, without "unpublish" in the text up to the next case
+    or pagination link, and before the first pagination link that follows an accepted one."""
+    gaps = F.transform(F.split("html", ANCHOR, -1), visible)
+    tags = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))
+    rows = pages.select(key, "url", F.posexplode(F.arrays_zip(tags.alias("tag"), F.slice(gaps, F.lit(2), F.size(tags)).alias("gap"))).alias("pos", "x"))
+    rows = rows.select(key, "url", "pos", F.regexp_extract("x.tag", ANCHOR, 1).alias("attrs"), visible(F.regexp_extract("x.tag", ANCHOR, 2)).alias("name"), F.col("x.gap").alias("gap"))
+    rows = rows.withColumns({"href": F.trim(attribute(F.col("attrs"), "href")), "label": F.lower("name")}).withColumn("target", F.when(F.col("href").isNotNull(), urls.resolved("url", "href")))
+    case = F.coalesce(urls.is_case(F.col("target")), F.lit(False))
+    boundary = F.col("href").isNotNull() & (case | is_paging(case))
+    in_page = Window.partitionBy(key).orderBy("pos")  # the anchors of one page
+    rows = rows.withColumn("paging", F.col("href").isNotNull() & is_paging(case)).withColumn("segment", F.sum(boundary.cast("int")).over(in_page))
+    words = F.lower(F.concat_ws(" ", "name", "gap"))
+    rows = rows.withColumn("bad", F.bool_or(F.contains(words, F.lit("unpublish"))).over(Window.partitionBy(key, "segment")))
+    named = F.startswith(fold(F.col("name")), fold(F.lit(prefix))) if prefix else F.lit(True)
+    on_host = (urls.part(F.col("target"), "PROTOCOL") == "https") & (F.lower(urls.part(F.col("target"), "AUTHORITY")) == urls.HOST)
+    fine = case & on_host & named & (~F.col("bad") if skip_unpublished else F.lit(True))
+    rows = rows.withColumn("fine", F.coalesce(fine, F.lit(False)))
+    rows = rows.withColumn("first", F.min(F.when(F.col("fine"), F.col("pos"))).over(Window.partitionBy(key)))
+    rows = rows.withColumn("stop", F.min(F.when(F.col("paging") & (F.col("pos") > F.col("first")), F.col("pos"))).over(Window.partitionBy(key)))
+    rows = rows.where(F.col("fine") & (F.col("stop").isNull() | (F.col("pos") < F.col("stop"))))
+    return rows.groupBy(key, F.col("target").alias("case_url")).agg(F.min("pos").alias("pos")).select(key, "pos", "case_url")
+
+
 def title(html: Column) -> Column:
     """The first non-blank of h1, h2, h3, .entry-title, .post-title and <title>."""
     tag = lambda n: F.nullif(visible(F.regexp_extract(html, rf"(?is)<{n}\b[^>]*>(.*?)</{n}>", 1)), F.lit(""))
@@ -103,16 +128,33 @@ def last_page(anchor_rows: DataFrame, listing: Column, key: str = "page_id") ->
 
 
 def pdf_link(pages: DataFrame, accepted, key: str = "page_id") -> DataFrame:
-    """The first accepted file link of each page: anchors with an href before other elements, then document order, then
-    the attributes' fixed order, ``onclick`` last."""
-    tags = pages.select(key, "url", F.posexplode(F.regexp_extract_all("html", F.lit(r"(?is)<[a-z][^>]*>"), F.lit(0))).alias("pos", "tag"))
+    """``key, link, filename``: the first accepted file link of each page: anchors with an href before other elements,
+    then document order, then the attributes' fixed order, ``onclick`` last. The file name is the element's own text up
+    to its end tag, else that of the element right before it or after it; null without any."""
+    element = r"(?is)<[a-z][^>]*>"
+    tags = F.regexp_extract_all("html", F.lit(element), F.lit(0))
+    rows = pages.select(key, "url", "html", F.posexplode(tags).alias("pos", "tag"))
     inside = F.regexp_extract("tag", r"(?is)^<[a-z][a-z0-9]*([^>]*)>$", 1)
     clicks = F.regexp_extract_all(F.coalesce(attribute(inside, "onclick"), F.lit("")), F.lit(r"""(?i)(https?://[^\s"'<>]+|/direktori/download_file/[^\s"'<>]+)"""), F.lit(1))
     found = F.concat(F.array(*[attribute(inside, a) for a in PDF_ATTRIBUTES]), clicks)
     second_pass = ~(F.col("tag").rlike(r"(?i)^<a\b") & attribute(inside, "href").isNotNull())
-    rows = tags.select(key, "url", "pos", second_pass.cast("int").alias("pass"), F.posexplode(found).alias("k", "link")).where("link is not null and link <> ''")
+    rows = rows.select(key, "url", "pos", second_pass.cast("int").alias("pass"), F.posexplode(found).alias("k", "link")).where("link is not null and link <> ''")
     rows = rows.where(accepted(F.col("link"), F.col("url")))
-    return rows.groupBy(key).agg(F.min_by("link", F.struct("pass", "pos", "k")).alias("link"))
+    best = rows.groupBy(key).agg(F.min_by(F.struct("link", "pos", "pass"), F.struct("pass", "pos", "k")).alias("x")).select(key, "x.*")
+    # What stands around the one tag: the text before it, and from it on.
+    after = F.array_join(F.slice(F.split("html", element, -1), F.col("pos") + 2, F.lit(1)), "")
+    whole = best.join(pages.select(key, "html"), key)
+    tag = F.get(F.regexp_extract_all("html", F.lit(element), F.lit(0)), F.col("pos"))
+    name = F.lower(F.regexp_extract(tag, r"(?is)^<([a-z][a-z0-9]*)", 1))
+    offset = F.aggregate(F.slice(F.split("html", element, -1), F.lit(1), F.col("pos") + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(tags, F.lit(1), F.col("pos")), F.lit(0), lambda a, x: a + F.length(x))
+    before, rest = F.substr("html", F.lit(1), offset), F.substr("html", offset + F.length(tag) + 1)
+    close = F.instr(F.lower(rest), F.concat(F.lit("</"), name, F.lit(">")))
+    own = F.when(close > 0, F.substr(rest, F.lit(1), close - 1)).otherwise(after)
+    tail = F.when(close > 0, F.substr(rest, close + F.length(name) + 3)).otherwise(F.lit(""))
+    previous = F.regexp_extract(before, r"(?is)<([a-z][a-z0-9]*)\b[^>]*>([^<]*)</\1>$", 2)
+    following = F.regexp_extract(tail, r"(?is)^<([a-z][a-z0-9]*)\b[^>]*>(.*?)</\1>", 2)
+    text = lambda x: F.nullif(visible(x), F.lit(""))
+    return whole.select(key, "link", F.when(F.col("pass") == 0, text(own)).otherwise(F.coalesce(text(own), text(previous), text(following))).alias("filename"))
 
 
 def walk(links: DataFrame, most: int | None = None) -> DataFrame:

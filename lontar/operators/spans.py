@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.functions.text import aligned, sliced, snapped, strip, without_fence
-from lontar.operators.clean import line_block
+from lontar.functions.text import aligned, bound, sliced, snapped, strip, without_fence
+from lontar.functions.text import lines as lines_of
+from lontar.operators.clean import block_from, first_line, line_block
 
 # The closed list of section keys, in their order.
 SECTIONS = (
@@ -29,15 +30,27 @@ EXPECTED = {
 }
 RULING = (r"(?i)^\s*M\s*E\s*N\s*G\s*A\s*D\s*I\s*L\s*I\s*:?\s*$", r"(?i)^\s*M\s*E\s*N\s*E\s*T\s*A\s*P\s*K\s*A\s*N\s*:?\s*$")
 
+_WITNESS = r"(?i)^Menimbang,\s*bahwa\s+(?:Anak|Terdakwa)\s+di\s+persidangan"
+_EXHIBITS = r"(?i)^Menimbang,\s*bahwa\s+Penuntut\s+Umum\s+mengajukan\s+barang\s+bukti"
+
 # Where a section that came back empty starts, and where it stops.
 BLOCKS = {
     "keterangan_perkara": (r"(?i)Pengadilan.*(?:mengadili|Hakim)|Membaca\s+Laporan|Setelah\s+membaca", (r"(?i)^\s*(?:1\.\s*)?Nama\s+lengkap\b",)),
     "penangkapan": (r"(?i)\bditangkap\b", (r"(?i)\bditahan\b", r"(?i)^Setelah membaca\b", r"(?i)^Menimbang\b")),
     "penahanan": (r"(?i)\bditahan\b|\bTahanan\b", (r"(?i)^Setelah membaca\b", r"(?i)^Menimbang\b")),
     "tuntutan": (r"(?i)pembacaan\s+tuntutan|tuntutan\s+pidana", (r"(?i)^Setelah mendengar tanggapan\b", r"(?i)^Menimbang,\s*bahwa\s+(?:Anak|Terdakwa)\s+didakwa\b")),
+    "dakwaan": (r"(?i)didakwa\s+berdasarkan\s+surat\s+dakwaan|surat\s+dakwaan\s+sebagai\s+berikut", (r"(?i)^Menimbang,\s*bahwa\s+terhadap\s+dakwaan\b", r"(?i)^Menimbang,\s*bahwa\s+(?:di|untuk)\s+persidangan\b")),
+    "saksi": (r"(?i)mengajukan\s+saksi|menghadirkan.*\bSaksi\b", (r"(?i)^Menimbang,\s*bahwa\s+Penuntut\s+Umum\s+(?:tidak\s+)?(?:juga\s+)?(?:mengajukan|menghadirkan).*Ahli", _WITNESS)),
+    "ahli": (r"(?i)\bahli\b", (_WITNESS, _EXHIBITS, r"(?i)^Menimbang,\s*bahwa\s+berdasarkan\s+ketentuan")),
+    "terdakwa": (r"(?i)^\s*Menimbang,\s*bahwa\s+(?:Anak|Terdakwa)\s+di\s+persidangan.*memberikan\s+keterangan", (r"(?i)^Menimbang,\s*bahwa\s+(?:Anak|Terdakwa)\s+tidak\s+mengajukan", _EXHIBITS, r"(?i)^Menimbang,\s*bahwa\s+berdasarkan\s+keterangan")),
     "surat": (r"(?i)\bSurat\s+Keterangan\b|\bbukti\s+surat\b|\bsurat-surat\s+lain\b", (r"(?i)^Menimbang\b",)),
+    "petunjuk_barang_bukti": (r"(?i)barang\s+bukti\s+(?:sebagai\s+berikut|di\s+persidangan|berupa)|menghadirkan\s+barang\s*$", (r"(?i)^Menimbang,\s*bahwa\s+pada\s+persidangan\b", r"(?i)^Menimbang,\s*bahwa\s+berdasarkan\s+keterangan", r"(?i)^Menimbang,\s*bahwa\s+selanjutnya\s+Hakim")),
+    "fakta_hukum": (r"(?i)diperoleh\s+fakta\s+hukum\s+sebagai\s+berikut|Terdakwa\s+telah\s+meninggal\s+dunia", (r"(?i)^Menimbang,\s*bahwa\s+selanjutnya\s+Hakim", r"(?i)^Menimbang,\s*bahwa\s+berdasarkan\s+ketentuan", r"(?i)^Menimbang,\s*bahwa\s+oleh\s+karena")),
+    "pertimbangan_hukum": (r"(?i)Hakim\s+akan\s+mempertimbangkan|berdasarkan\s+ketentuan\s+Pasal|terhadap\s+barang\s+bukti\s+yang\s+telah\s+dihadirkan", RULING),
     "tanda_tangan_majelis": (r"(?i)^\s*Hakim(?:\s+Ketua|\s+Anggota)?\s*,?\s*$", (r"(?i)^Disclaimer\b",)),
 }
+CONSIDERING = r"(?i)^\s*Menimbang\b"
+DIVERSION = r"(?i)\bKesepakatan\s+Diversi\b"
 LINES = {
     "judul": r"(?im)^\s*((?:P\s*)?U\s*T\s*U\s*S\s*A\s*N|P\s*E\s*N\s*E\s*T\s*A\s*P\s*A\s*N)\s*$",
     "nomor_putusan": r"(?im)^\s*(Nomor\s+\S.+)$",
@@ -157,11 +170,17 @@ def evidence_problems(spans: Column, text: Column) -> Column:
     return F.filter(tests, lambda x: x.isNotNull())
 
 
+# Fixed value: how an extraction document says that it was made.
+METHOD = "codex_manual_extractive"
+
+
 def output_problems(doc: Column) -> Column:
     """Faults of an extraction document ``struct<status,source_file,source_sha256,method,sections,empty_sections>``."""
     empty = F.filter(F.map_keys(doc["sections"]), lambda k: F.size(F.element_at(doc["sections"], k)) == 0)
     tests = F.array(
         F.when(F.coalesce(doc["status"], F.lit("")) == "", "no status"),
+        F.when(F.coalesce(doc["source_file"], F.lit("")) == "", "no source_file"),
+        F.when(F.coalesce(doc["method"], F.lit("")) != METHOD, "another method"),
         F.when(~F.coalesce(doc["source_sha256"], F.lit("")).rlike("^[a-fA-F0-9]{64}$"), "bad source_sha256"),
         F.when(F.map_keys(doc["sections"]) != F.array(*[F.lit(k) for k in SECTIONS]), "keys or their order"),
         F.when(F.exists(F.flatten(F.map_values(doc["sections"])), lambda x: x == ""), "empty excerpt"),
@@ -170,27 +189,141 @@ def output_problems(doc: Column) -> Column:
     return F.filter(tests, lambda x: x.isNotNull())
 
 
+# The closing formula, a dated line, and a year with spaces between its digits.
+CLOSING = r"(?is)Demikianlah\s+(?:diputuskan|ditetapkan).*?pada\s+hari\s+([^,\n]+)\s*,\s*tanggal\s+(.+?)\s+oleh\b"
+DATED = r"(?i)Pada\s+tanggal\s+([^\n]+)"
+YEAR = r"\b((?:20|19)\s*\d\s*\d)\b"
+
+
 def closing(text: Column) -> dict[str, Column]:
     """Day, date and year of the closing formula, or of "Pada tanggal"."""
-    formula = r"(?is)Demikianlah\s+(?:diputuskan|ditetapkan).*?pada\s+hari\s+([^,\n]+)\s*,\s*tanggal\s+(.+?)\s+oleh\b"
-    dated = r"(?i)Pada\s+tanggal\s+([^\n]+)"
-    year = lambda x: F.nullif(F.trim(F.regexp_extract(x, r"\b((?:20|19)\s*\d\s*\d)\b", 1)), F.lit(""))
+    formula, dated = CLOSING, DATED
+    year = lambda x: F.nullif(F.trim(F.regexp_extract(x, YEAR, 1)), F.lit(""))
     got = lambda p, i: F.nullif(strip(F.regexp_extract(text, p, i)), F.lit(""))
     long = F.regexp_replace(got(formula, 2), r"\s+", " ")
     return {"hari": got(formula, 1), "tanggal": F.coalesce(long, got(dated, 1)), "tahun": F.coalesce(year(got(formula, 2)), year(got(dated, 1)))}
 
 
+def rewound(rows: Column, at: Column) -> Column:
+    """``at``, or the nearest of the two lines before it that opens a consideration, if it opens none itself."""
+    opens = lambda i: (i >= 0) & F.coalesce(F.get(rows, i).rlike(CONSIDERING), F.lit(False))
+    return bound(at, lambda i: F.when(opens(i), i).when(opens(i - 1), i - 1).when(opens(i - 2), i - 2).otherwise(i))
+
+
 def repaired(text: Column) -> dict[str, Column]:
     """What the anchor rules find for sections that are empty, one column for each rule; null where nothing is found."""
     rows = F.split(text, "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85]", -1)
     out = {k: F.nullif(strip(F.regexp_extract(text, p, 1)), F.lit("")) for k, p in LINES.items()}
     out |= {k: line_block(rows, start, stops) for k, (start, stops) in BLOCKS.items()}
+    start, stops = BLOCKS["dakwaan"]
+    out["dakwaan"] = block_from(rows, rewound(rows, first_line(rows, start)), stops)
+    start, stops = BLOCKS["pertimbangan_hukum"]
+    out["pertimbangan_hukum"] = block_from(rows, F.coalesce(first_line(rows, start), F.when(text.rlike(DIVERSION), first_line(rows, CONSIDERING))), stops)
     by_first, by_second = (line_block(rows, p, (r"(?i)^Demikianlah\b",)) for p in RULING)
-    first_line = F.get(rows, 0).rlike(RULING[0])
-    out["amar_putusan"] = F.when(first_line, by_second).otherwise(F.coalesce(by_first, by_second))
+    opens = F.get(rows, 0).rlike(RULING[0])  # a ruling in the very first line does not count
+    out["amar_putusan"] = F.when(opens, by_second).otherwise(F.coalesce(by_first, by_second))
     return out | closing(text)
 
 
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _wanted() -> Column:
+    return F.array(*[F.lit(k) for k in SECTIONS])
+
+
+def spans_of(sections: Column, key: str) -> Column:
+    return F.coalesce(F.try_element_at(sections, F.lit(key)), _none())
+
+
+def filled_in(sections: Column, text: Column) -> Column:
+    """A record's sections with what the anchor rules find for the empty ones; others stay as they are."""
+    found = repaired(text)
+    one = lambda k: F.when((F.size(spans_of(sections, k)) == 0) & found[k].isNotNull(), F.array(found[k])).otherwise(spans_of(sections, k)) if k in found else spans_of(sections, k)
+    return F.map_from_arrays(_wanted(), F.array(*[one(k) for k in SECTIONS]))
+
+
+def empty_sections(sections: Column, blank_too: bool = False) -> Column:
+    """The keys of sections without an excerpt; with ``blank_too``, without one that is not blank."""
+    full = lambda k: F.exists(F.element_at(sections, k), lambda x: strip(x) != "") if blank_too else F.size(F.element_at(sections, k)) > 0
+    return F.filter(_wanted(), lambda k: ~full(k))
+
+
+def whole_answer(content: Column, text: Column) -> Column:
+    """``struct<error, sections>`` of an answer over all sections. An answer that is itself a record of the 31 keys is
+    checked as one. Otherwise it needs a ``sections`` object of exactly these keys; an entry is coerced to empty if its
+    ``lines`` or ``text`` is an empty list; the first fault by the order of the keys stands for all."""
+    json_map, spans_map = "map<string,string>", "map<string,array<string>>"
+    body = parsed(content)
+    inner = F.get_json_object(body, "$.sections")
+    facts = F.struct(body.alias("body"), F.from_json(body, json_map).alias("top"), F.when(F.trim(inner).startswith("{"), F.from_json(inner, json_map)).alias("sections"), lines_of(text).alias("lines"), text.alias("text"))
+    hollow = lambda e: (F.get_json_object(e, "$.lines") == "[]") | (F.get_json_object(e, "$.text") == "[]")
+
+    def entry(x: Column, k: Column) -> Column:
+        return F.try_element_at(x["sections"], k)
+
+    def problem(x: Column, k: Column) -> Column:
+        e = entry(x, k)
+        return F.when(~F.coalesce(F.trim(e).startswith("{"), F.lit(False)), "not an object").when(F.coalesce(hollow(e), F.lit(False)), F.lit(None)).otherwise(entry_problem(e, x["lines"]))
+
+    def excerpts(x: Column, k: Column) -> Column:
+        e = entry(x, k)
+        return F.when(F.coalesce(hollow(e), F.lit(False)), _none()).otherwise(entry_spans(e, x["lines"], x["text"]))
+
+    def read(x: Column) -> Column:
+        keys = lambda m: F.array_sort(F.map_keys(m))
+        same = lambda m: keys(m) == F.array_sort(_wanted())
+        flat = F.from_json(x["body"], spans_map)
+        record = F.struct(F.get(record_problems(flat, x["text"]), F.lit(0)).alias("error"), flat.alias("sections"))
+        bad = F.get(F.filter(F.transform(_wanted(), lambda k: F.concat(k, F.lit(": "), problem(x, k))), lambda p: p.isNotNull()), F.lit(0))
+        made = F.map_from_arrays(_wanted(), F.transform(_wanted(), lambda k: excerpts(x, k)))
+        error = F.when(x["sections"].isNull(), "no sections object").when(~same(x["sections"]), "wrong section keys").otherwise(bad)
+        spans = F.struct(error.alias("error"), F.when(error.isNull(), made).alias("sections"))
+        broken = F.struct(answer_error(content).alias("error"), F.lit(None).cast(spans_map).alias("sections"))
+        return F.when(x["body"].isNull(), broken).when(same(x["top"]), record).otherwise(spans)
+
+    return bound(facts, read)
+
+
+def normalized(body: Column) -> Column:
+    """The sections of a record in JSON as ``map<string,array<string>>`` of all keys: a missing or null one is empty, a
+    string is a list of one, items that are no strings are written as such."""
+    record = F.try_parse_json(body)
+    listed = lambda k: F.try_variant_get(record, f"$.sections.{k}", "array<string>")
+    plain = lambda k: F.try_variant_get(record, f"$.sections.{k}", "string")
+    one = lambda k: F.coalesce(listed(k), F.when(plain(k).isNotNull(), F.array(plain(k))), _none())
+    return F.map_from_arrays(_wanted(), F.array(*[one(k) for k in SECTIONS]))
+
+
+def usable(body: Column) -> Column:
+    """Whether a record in JSON can be trained on: valid, completed, its sections an object, not all of them blank."""
+    sections = F.get_json_object(body, "$.sections")
+    fine = F.try_parse_json(body).isNotNull() & (F.get_json_object(body, "$.status") == "completed") & F.trim(sections).startswith("{")
+    some = F.exists(F.flatten(F.map_values(normalized(body))), lambda x: strip(x) != "")
+    return F.coalesce(fine & some, F.lit(False))
+
+
+def loaded(sources: DataFrame, saved: DataFrame) -> DataFrame:
+    """``sources(stem, source_file, source_sha256, text)`` with the output saved for each stem, as far as it still
+    holds: ``state`` (``absent``, ``invalid``, ``other source``, ``kept``), its ``sections`` after repair, the keys of
+    ``empty_sections``, and ``changed`` if the stored form differs from that. ``saved`` has ``stem, status, source_file,
+    source_sha256, sections, empty_sections, legacy`` (true if it holds a bucket of the old form)."""
+    s = saved.select("stem", F.coalesce("status", F.lit("completed")).alias("status"), F.col("source_file").alias("saved_file"), F.col("source_sha256").alias("saved_sha"), F.col("sections").alias("stored"), F.col("empty_sections").alias("stored_empty"), "legacy", F.lit(True).alias("there"))
+    rows = sources.join(s, "stem", "left").withColumn("no_text", F.coalesce(F.col("status") == "no_text", F.lit(False)))
+    body = F.coalesce("text", F.lit(""))
+    rows = rows.withColumn("repaired", F.when(F.col("no_text"), F.map_from_arrays(_wanted(), F.array_repeat(_none(), len(SECTIONS)))).otherwise(filled_in(F.col("stored"), body)))
+    wrong = F.coalesce(F.size(record_problems(F.col("stored"), body)) > 0, F.lit(True))
+    invalid = wrong | F.when(F.col("no_text"), body != "").otherwise(F.size(evidence_problems(F.col("repaired"), body)) > 0)
+    other = ~(F.col("saved_file").eqNullSafe(F.col("source_file")) & F.col("saved_sha").eqNullSafe(F.col("source_sha256")))
+    state = F.when(F.col("there").isNull(), "absent").when(invalid, "invalid").when(other, "other source").otherwise("kept")
+    rows = rows.withColumn("state", state)
+    kept = F.col("state") == "kept"
+    flat = lambda c: F.transform(_wanted(), lambda k: F.coalesce(F.try_element_at(c, k), _none()))
+    changed = (flat(F.col("stored")) != flat(F.col("repaired"))) | ~F.col("stored_empty").eqNullSafe(empty_sections(F.col("repaired"))) | F.coalesce("legacy", F.lit(False))
+    return rows.select("stem", "source_file", "state", F.when(kept, F.col("repaired")).alias("sections"), F.when(kept, empty_sections(F.col("repaired"))).alias("empty_sections"), (kept & changed).alias("changed"))
+
+
 def better_retry(attempts: DataFrame, key: str, emptiness: str, attempt: str) -> DataFrame:
     """The attempt of each key with the fewest empty sections, the earliest of equals, and how the retries went."""
     first = F.min_by(emptiness, attempt)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lontar.plans import crawl, fidelity, logs, records, review, streams, texts, work  # noqa: F401
+from lontar.plans import crawl, datasets, fidelity, logs, records, review, streams, texts, work  # noqa: F401
 from lontar.plans.registry import ORACLES, QUERIES
 
 

@@ -77,7 +77,7 @@ h AS (SELECT page_id, pos, regexp_extract(tag, '(?is)\shref\s*=\s*"([^"]*)"', 1)
 SELECT page_id, arg_min(link, pos) AS link FROM h WHERE link <> '' AND length(link) > 4 GROUP BY page_id"""
 )
 def pdf_link_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return html.pdf_link(table(spark, folder, "pages"), lambda link, _: F.length(link) > 4)
+    return html.pdf_link(table(spark, folder, "pages"), lambda link, _: F.length(link) > 4).select("page_id", "link")
 
 
 @query(

@@ -44,15 +44,6 @@ def pending_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     return logs.pending(docs, labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1").select(F.col("doc_id").alias("stem")), "doc_id", "stem").select("doc_id", "lang")
 
 
-@query("SELECT d.doc_id, l.doc_id IS NOT NULL AS saved, coalesce(l.quality = 1 AND sha256(d.text) = sha256(d.text), FALSE) AS valid FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.toxic = 0")
-def saved_output_validity(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with their saved output, valid only if name and hash agree."""
-    docs = table(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
-    saved = table(spark, folder, "labels").where("toxic = 0").join(docs, "doc_id", "left_semi").select(F.col("doc_id").alias("saved_id"), "quality")
-    rows = docs.join(saved, docs["doc_id"] == saved["saved_id"], "left")
-    return rows.select("doc_id", F.col("saved_id").isNotNull().alias("saved"), F.coalesce((F.col("quality") == 1) & (F.length("sha") == 64), F.lit(False)).alias("valid"))
-
-
 @query("SELECT (SELECT count(*) FROM documents) AS sources, (SELECT count(DISTINCT user_id) FROM events WHERE event_type = 'purchase') AS completed, (SELECT count(*) FROM labels) AS outputs, (SELECT count(*) FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS pending")
 def status_panel(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels, events = (table(spark, folder, n) for n in ("documents", "labels", "events"))

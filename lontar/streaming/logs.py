@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -56,3 +57,22 @@ def streak_state(events: DataFrame, key: str, order: str, status: str, failed: s
         yield pd.DataFrame({"key": [int(k[0])], "failures": [int(n)], "cool_down": [bool(n >= threshold)]})
 
     return events.groupBy(key).applyInPandasWithState(run, "key long, failures long, cool_down boolean", "n long", "update", GroupStateTimeout.NoTimeout)
+
+
+class Progress(StreamingQueryListener):
+    """Calls ``told(name, batch, rows)`` after each batch of a stream: what a dashboard or a log is fed from."""
+
+    def __init__(self, told: Callable[[str | None, int, int], None]):
+        self.told = told
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        self.told(event.progress.name, event.progress.batchId, event.progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass

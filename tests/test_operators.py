@@ -111,11 +111,103 @@ def test_evidence_and_output_checks(spark):
     empty = F.map_from_arrays(F.array(*[F.lit(k) for k in spans.SECTIONS]), F.array_repeat(none, 31))
     r = one(spark, p=spans.evidence_problems(empty, F.lit("Agama : Islam\nMENGADILI\nx")))
     assert r.p == ["all sections are empty", "agama is labelled but empty", "a ruling without amar_putusan"]
-    doc = F.struct(F.lit("completed").alias("status"), F.lit("a").alias("source_file"), F.lit("g" * 64).alias("source_sha256"), F.lit("m").alias("method"), empty.alias("sections"), F.array(F.lit("judul")).alias("empty_sections"))
+    doc = F.struct(F.lit("completed").alias("status"), F.lit("a").alias("source_file"), F.lit("g" * 64).alias("source_sha256"), F.lit(spans.METHOD).alias("method"), empty.alias("sections"), F.array(F.lit("judul")).alias("empty_sections"))
     assert one(spark, p=spans.output_problems(doc)).p == ["bad source_sha256", "empty_sections differ"]
     assert one(spark, p=spans.record_problems(F.create_map(F.lit("judul"), F.array(F.lit("x"))), F.lit("y"))).p == ["missing keys", "excerpt not in source"]
 
 
+def test_all_anchor_rules(spark):
+    text = "\n".join(["Nomor 1", "pembukaan", "Menimbang, bahwa Anak", "x", "didakwa berdasarkan surat dakwaan", "isi dakwaan", "Menimbang, bahwa terhadap dakwaan", "menghadirkan para Saksi", "saksi satu", "Menimbang, bahwa Anak di persidangan memberikan keterangan", "isi anak", "Menimbang, bahwa Anak tidak mengajukan", "pendapat ahli", "isi ahli", "Menimbang, bahwa berdasarkan ketentuan", "barang bukti berupa", "pisau", "Menimbang, bahwa pada persidangan", "diperoleh fakta hukum sebagai berikut", "fakta", "Menimbang, bahwa oleh karena", "Hakim akan mempertimbangkan", "unsur", "MENGADILI", "putusan"])
+    r = spark.range(1).select(*[c.alias(k) for k, c in spans.repaired(F.lit(text)).items()]).first()
+    assert r.dakwaan == "Menimbang, bahwa Anak\nx\ndidakwa berdasarkan surat dakwaan\nisi dakwaan"
+    assert r.saksi == "menghadirkan para Saksi\nsaksi satu" and r.ahli == "pendapat ahli\nisi ahli"
+    assert r.terdakwa == "Menimbang, bahwa Anak di persidangan memberikan keterangan\nisi anak"
+    assert r.petunjuk_barang_bukti == "barang bukti berupa\npisau" and r.fakta_hukum == "diperoleh fakta hukum sebagai berikut\nfakta"
+    assert r.pertimbangan_hukum == "Hakim akan mempertimbangkan\nunsur" and r.amar_putusan == "MENGADILI\nputusan"
+    short = "Kesepakatan Diversi\nMenimbang a\nb\nMENETAPKAN\nc"
+    r = one(spark, p=spans.repaired(F.lit(short))["pertimbangan_hukum"], q=spans.repaired(F.lit(short[20:]))["pertimbangan_hukum"])
+    assert (r.p, r.q) == ("Menimbang a\nb", None) and len(spans.repaired(F.lit(""))) == 20
+
+
+def test_whole_answers(spark):
+    import json
+
+    good = {k: {"empty": True} for k in spans.SECTIONS} | {"judul": {"lines": [[1, 1]]}, "saksi": {"lines": []}, "ahli": {"text": ["dua  tiga", "tak ada"]}}
+    flat = {k: [] for k in spans.SECTIONS} | {"judul": ["satu"]}
+    answers = [json.dumps(x) for x in ({"sections": good}, {"sections": good | {"agama": {"lines": [[1, 99]]}, "ahli": {"empty": False}}}, flat, flat | {"judul": ["lain"]}, {"a": 1}, {"sections": {"judul": {}}}, {"sections": good | {"agama": "x"}}, {"sections": good | {"agama": {"empty": True, "text": []}}})] + ["x", None]
+    df = spark.createDataFrame(list(enumerate(answers)), "i long, c string")
+    got = {r.i: (r.r.error, {k: v for k, v in (r.r.sections or {}).items() if v}) for r in df.select("i", spans.whole_answer(F.col("c"), F.lit("satu\ndua\ntiga")).alias("r")).collect()}
+    assert got[0] == got[7] == (None, {"judul": ["satu"], "ahli": ["dua\ntiga"]}) and got[2] == (None, {"judul": ["satu"]})
+    assert [got[i][0] for i in (1, 3, 4, 5, 6, 8, 9)] == ["ahli: empty is not true" if spans.SECTIONS.index("ahli") < spans.SECTIONS.index("agama") else "agama: range out of bounds", "excerpt not in source", "no sections object", "wrong section keys", "agama: not an object", "not a JSON object", "no assistant content"]
+
+
+def test_saved_outputs(spark):
+    none = {k: [] for k in spans.SECTIONS}
+    text = "PUTUSAN\nisi"
+    src = [(s, f"{s}.txt", "h", t) for s, t in (("a", text), ("b", text), ("c", text), ("d", text), ("e", ""), ("f", text), ("g", text))]
+    rest = [k for k in spans.SECTIONS if k != "judul"]
+    saved = [
+        ("a", None, "a.txt", "h", none | {"judul": ["PUTUSAN"]}, rest, False), ("b", "completed", "b.txt", "x", none | {"judul": ["PUTUSAN"]}, rest, False), ("c", "completed", "c.txt", "h", none | {"judul": ["bukan"]}, rest, False),
+        ("d", "completed", "d.txt", "h", none, list(spans.SECTIONS), True), ("e", "no_text", "e.txt", "h", none, list(spans.SECTIONS), False), ("f", "no_text", "f.txt", "h", none, list(spans.SECTIONS), False),
+    ]
+    kind = "stem string, status string, source_file string, source_sha256 string, sections map<string,array<string>>, empty_sections array<string>, legacy boolean"
+    got = {r.stem: r for r in spans.loaded(spark.createDataFrame(src, "stem string, source_file string, source_sha256 string, text string"), spark.createDataFrame(saved, kind)).collect()}
+    assert {k: (r.state, r.changed) for k, r in got.items()} == {"a": ("kept", False), "b": ("other source", False), "c": ("invalid", False), "d": ("kept", True), "e": ("kept", False), "f": ("invalid", False), "g": ("absent", False)}
+    assert got["d"].sections["judul"] == ["PUTUSAN"] and got["d"].empty_sections == rest
+
+
+def test_audits_rows_and_feedback(spark, tmp_path):
+    from lontar.operators import datasets
+
+    kind = "source string, line long, value int, output string"
+    old = spark.createDataFrame([("A", 1, 1, "x"), ("a", 2, 2, "x"), ("b", 3, 3, "gone")], kind)
+    new = spark.createDataFrame([("B", 1, 4, "y")], kind)
+    got = datasets.merged_audit(old, new, spark.createDataFrame([("x",), ("y",)], "output string"), "source", "output")
+    assert sorted((r.source, r.value) for r in got.collect()) == [("B", 4), ("a", 2)]
+    log = spark.createDataFrame([(1, "baik", 5, None), (1, "buruk", 1, "benar"), (2, "x", 3, ""), (2, "y", 3, "y")], "k long, answer string, rating int, fix string")
+    sets = datasets.feedback_sets(log, "answer", "rating", "fix", "k")
+    assert [tuple(r) for r in sets["preference"].collect()] == [(1, "baik", "buruk")] and [tuple(r) for r in sets["corrections"].collect()] == [(1, "buruk", "benar")]
+    rows = datasets.training_rows(spark.createDataFrame([("sft", "a", "i", '{"x":1}'), ("grpo", "b", "i", "t")], "split string, sha string, input string, target string").withColumn("meta", F.struct("sha")), "S")
+    sinks.write_splits(rows.select("split", "row"), str(tmp_path / "splits"))
+    assert sorted(r.split for r in spark.read.json(str(tmp_path / "splits")).collect()) == ["grpo", "sft"]
+    by = {r.split: __import__("json").loads(r.row) for r in rows.collect()}
+    assert [m["role"] for m in by["sft"]["messages"]] == ["system", "user", "assistant"] and by["grpo"]["answer"] == "t" and len(by["grpo"]["prompt"]) == 2
+
+
+def test_files_of_records_lists_and_reports(spark, tmp_path):
+    import json
+
+    from pyspark.sql import types as K
+
+    for corpus, model, status in (("c", "m", "completed"), ("c", "skip", "completed"), ("d", "m", "failed")):
+        (tmp_path / corpus / model / "output").mkdir(parents=True)
+        (tmp_path / corpus / model / "output" / "a.json").write_text(json.dumps({"status": status, "n": 1}))
+    schema = K.StructType([K.StructField("status", K.StringType()), K.StructField("n", K.IntegerType())])
+    got = readers.record_files(spark, f"{tmp_path}/*/*/output/*.json", schema, ("skip",)).collect()
+    assert [(r.corpus, r.model, r.n) for r in got] == [("c", "m", 1)] and readers.record_files(spark, f"{tmp_path}/none/*", schema).count() == 0
+    (tmp_path / "urls.txt").write_text("# x\n\n https://a \nhttps://b\n")
+    assert sorted(r.url for r in readers.url_list(spark, str(tmp_path / "urls.txt")).collect()) == ["https://a", "https://b"]
+    assert sinks.report("T", spark.range(1), "id") == "# T\n\n| id |\n|-|\n| 0 |\n"
+
+
+def test_progress_of_streams(spark, tmp_path):
+    import time
+
+    from lontar.streaming import logs
+
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    seen = []
+    listener = logs.Progress(lambda name, batch, rows: seen.append(rows))
+    spark.streams.addListener(listener)
+    logs.drained(logs.read(spark, str(tmp_path / "in"), spark.range(1).schema), str(tmp_path / "c"), lambda df, n: df.count())
+    for _ in range(50):
+        if sum(seen) >= 5:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert sum(seen) >= 5
+
+
 def test_greedy_dedup_equals_the_sequential_rule(spark):
     rng = random.Random(7)
     for _ in range(4):
@@ -265,6 +357,12 @@ def test_pages(spark):
     assert df.select(html.title(F.col("html")).alias("t")).first().t == "Judul"
     found = html.pdf_link(df, lambda link, _: F.contains(link, F.lit("/pdf/"))).first().link
     assert found == "/direktori/download_file/1/pdf/q"
+    named = html.pdf_link(spark.createDataFrame([(1, "u", '<p>x</p><b>Berkas 1</b><i data-url="/pdf/q"></i><b>Lain</b>'), (2, "u", '<i data-url="/pdf/a">dalam</i><a href="/pdf/z"> Unduh <b>ini</b></a>'), (3, "u", '<i data-file="/pdf/c"></i><u>kemudian</u>'), (4, "u", '<i data-file="/pdf/c"></i>')], "page_id long, url string, html string"), lambda link, _: F.contains(link, F.lit("/pdf/")))
+    assert {r.page_id: (r.link, r.filename) for r in named.collect()} == {1: ("/pdf/q", "Berkas 1"), 2: ("/pdf/z", "Unduh ini"), 3: ("/pdf/c", "kemudian"), 4: ("/pdf/c", None)}
+    whole = f'<a href="{case}0.html">Putusan A</a> unpublish <a href="{case}1.html">Putusan B</a><a href="{case}2.html">Lain C</a><a href="https://x/direktori/putusan/3.html">Putusan D</a><a href="/direktori/putusan/4.html">PUTUSAN E</a><a href="{case}1.html">Putusan B</a><a class="page-link" href="/p">2</a><a href="{case}5.html">Putusan F</a>'
+    pages = spark.createDataFrame([(1, "https://putusan3.mahkamahagung.go.id/direktori/index/x.html", whole)], "page_id long, url string, html string")
+    got = lambda **a: [x.case_url.rsplit("/", 1)[1] for x in html.listing(pages, **a).orderBy("pos").collect()]
+    assert got(prefix="putusan") == ["1.html", "4.html"] and got(prefix="putusan", skip_unpublished=False) == ["0.html", "1.html", "4.html"] and got() == ["1.html", "2.html", "4.html"]
     r = one(spark, a=urls.allowed(F.lit(case + "a.html"), "detail"), b=urls.allowed(F.lit("http://x/direktori/putusan/a.html"), "detail"), p=urls.listing_page(F.lit("https://h/i/page/3.html?q=1"), F.lit(5)), i=urls.listing_index(F.lit("https://h/i/page/3.html")), s=urls.sanitized(F.lit("a%2Fb:c+d .PDF")))
     assert (r.a, r.b, r.p, r.i, r.s) == (True, False, "https://h/i/page/5.html?q=1", 3, "a_b_c+d .PDF")
 
