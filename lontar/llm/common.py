@@ -6,8 +6,6 @@ import atexit
 import contextlib
 import ctypes
 import gc
-import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from lontar.operators.cut import shared_dir
+
 #: Java and Python pattern of one word: a run of anything but space, tab, line ends, vertical tab and form feed.
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
@@ -26,20 +26,6 @@ _STRIDE = 1 << 18
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where that is unset: a temporary one in local mode, as in tests; on a
-    cluster an error, as executors don't share such a folder."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lontar-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
 def checkpoint(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: lost executors do not lose it, and its lineage ends."""
     shared_dir(df.sparkSession)

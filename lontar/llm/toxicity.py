@@ -11,7 +11,7 @@ label, those of the smallest hash; everything else covers all rows. When a train
 the lexicon's counts is taken out. Labels, lang, source and doc_id are no inputs of a score.
 
 Null texts count as empty; empty texts get the score of their (zero) features. Labels without a value are ignored; of
-several labels for a doc_id the largest counts. Without labels of both kinds the score is the training share of toxic
+several labels for a doc_id the largest counts, and of several texts the least. Without labels of both kinds the score is the training share of toxic
 rows (0 without any). Rows that repeat get equal scores. Other columns pass through ``score``; columns already named
 ``score`` or ``predicted`` are replaced.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lontar.llm.common import checkpoint, held, slices, text_batches
+from lontar.llm.common import Shelf, held, partitions, slices, text_batches
 
 TRAIN_ROWS = 10_000
 LEXICON_SIZE = 5_000
@@ -226,7 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     # At most 2 * rows pairs of numbers, so their size is bounded by the parameter.
     some = known.where("toxic = 1").orderBy(*order).limit(rows).union(known.where("toxic = 0").orderBy(*order).limit(rows))
     rows_in = text_batches(docs).select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
-    train = checkpoint(rows_in.select("doc_id", "toxic", "text"))
+    # One text for each doc_id, the least of several, so that no doc_id brings more rows than one.
+    some_rows = rows_in.select("doc_id", "toxic", "text").repartition(partitions(docs.sparkSession), "doc_id")
+    train = Shelf(docs.sparkSession, "toxicity").put(some_rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("toxicity")
@@ -258,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "toxic", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    table = train.mapInArrow(features, f"doc_id {kind}, toxic int, x array<double>").orderBy("doc_id", "x").collect()
+    table = sorted(train.mapInArrow(features, f"doc_id {kind}, toxic int, x array<double>").collect(), key=lambda r: r["doc_id"])
     x = np.array([r["x"] for r in table])
     y = np.array([r["toxic"] for r in table], float)
     # Both kinds in both parts: every fourth row of each kind calibrates.

@@ -568,9 +568,180 @@ def test_isotonic_is_monotone():
     assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all()
 
 
+def described_by_hand(text, lexicon):
+    """The features of a text, straight from their names."""
+    text = text or ""
+    letters = lambda x: re.findall(r"[^\W\d_]+", x)
+    w = letters(text.lower())
+    weight = lambda x: max([0.0, *[o for u in toxicity.units({x}) if u in lexicon.counts and (o := lexicon.odds(*lexicon.counts[u])) >= toxicity.LEAST_ODDS]])
+    n, size = max(1, len(w)), max(1, len(text))
+    hit = [weight(x) > 0 for x in w]
+    insult = [x in toxicity.INSULTS for x in w]
+    near = sum(any(x in toxicity.SECOND for x in w[max(0, i - 5) : i + 6]) for i in range(len(w)) if hit[i] or insult[i])
+    odd = [m.group() for m in toxicity._ODD.finditer(text)]
+    plain = ["".join(letters(x.lower().translate(toxicity.LEET))) for x in odd]
+    count = lambda marks: sum(text.count(c) for c in marks)
+    you = sum(x in toxicity.SECOND for x in w)
+    return [
+        sum(hit), sum(hit) / n, len({x for x, h in zip(w, hit) if h}), max(map(weight, w), default=0.0), sum(map(weight, w)), sum(insult), sum(insult) / n, near, near / n, you / n,
+        sum(c.isupper() for c in text) / size, len(toxicity._SHOUT.findall(text)) / n, count("!") / size, count("?") / size, count(".,;*#") / size, len(odd) / n,
+        sum(p in toxicity.INSULTS or weight(p) > 0 for p in plain), len(toxicity._LONG.findall(text)) / n, np.log1p(len(w)),
+    ]
+
+
+def test_toxicity_by_hand(spark):
+    """Features from their definitions, tree sums by walking each tree, calibration by pooling all adjacent pairs."""
+    rng = random.Random(15)
+    lexicon = toxicity.Lexicon({"zork": (30, 1), "^zor": (40, 9), "kata": (3, 50), "blip": (6, 6)}, 100, 100)
+    bits = ["zork", "ZORKA", "you", "idiot", "kata", "1d10t", "b.l.i.p", "!!!", "a,b;", "sooo", "é", "du", "\n", "x?"]
+    texts = [None, "", *[" ".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(150)]]
+    x = np.array([toxicity.describe(t, lexicon) for t in texts])
+    assert np.allclose(x, [described_by_hand(t, lexicon) for t in texts]) and x.shape[1] == len(toxicity.NAMES)
+    y = np.array([float(r[0] + rng.random() > 2) for r in x])
+    model = toxicity.fit_trees(x, y)
+
+    def walk(row):
+        out = model.base
+        for feature, cut, leaf in model.trees:
+            at = 0
+            for _ in range(toxicity.DEPTH):
+                j = feature[at]
+                at = 2 * at + 1 + int(sum(e <= row[j] for e in model.edges[j]) > cut[at])
+            out += leaf[at - (2**toxicity.DEPTH - 1)]
+        return out
+
+    raw = model.raw(x)
+    assert np.allclose(raw, [walk(r) for r in x])
+    middle, share = toxicity.isotonic(raw, y)
+    blocks = [[v, 1, t] for v, t in sorted(zip(raw, y))]
+    blocks = [[sum(t for v, _, t in blocks if v == u) / sum(v == u for v, _, _ in blocks), sum(v == u for v, _, _ in blocks)] for u in sorted({b[0] for b in blocks})]
+    while any(a[0] >= b[0] for a, b in zip(blocks, blocks[1:])):
+        k = next(k for k, (a, b) in enumerate(zip(blocks, blocks[1:])) if a[0] >= b[0])
+        (s, n), (t, m) = blocks[k], blocks[k + 1]
+        blocks[k : k + 2] = [[(s * n + t * m) / (n + m), n + m]]
+    assert np.allclose(share, [b[0] for b in blocks]) and len(middle) == len(blocks)
+    whole = toxicity.Model(lexicon, model, (middle, share), 0.5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("Score", F.lit("x")).withColumn("note", F.lit(1))
+    got = toxicity.score(docs, whole)
+    assert got.columns == ["doc_id", "text", "note", "score", "predicted"]
+    want = 0.99 * np.interp(raw, middle, share) + 0.01 / (1 + np.exp(-raw))
+    assert all(abs(r.score - want[r.doc_id]) < 1e-9 and r.predicted == (r.score >= 0.5) for r in got.collect())
+
+
+def test_columns_of_the_operators_names_in_any_case(spark):
+    """Columns of the input that clash in another case are replaced; the others pass through."""
+    df = documents(spark, ["satu dua", None]).withColumnsRenamed({"score": "IDS", "n_removed": "N_Lines"}).withColumn("Decoded", F.lit(1)).withColumn("n_words", F.lit("x"))
+    assert sentencepieces.encode(df, PIECES).columns == ["doc_id", "text", "source", "N_Lines", "n_words", "ids", "decoded"]
+    assert lines.dedup_lines(df).columns == ["doc_id", "text", "source", "IDS", "Decoded", "n_words", "n_lines", "n_removed"]
+    assert substrings.op5(df).count() == minhash.op6(df.withColumn("component_id", F.lit(1))).count() == 2
+    assert mixing.mixed_documents(df.withColumns({"share": F.lit(1), "copies": F.lit(2), "copy": F.lit(3), "id": F.lit(4)})).columns[-4:] == ["share", "copies", "copy", "id"]
+    assert secrets.scan_secrets(df).count() == 2
+
+
+def test_very_long_texts(spark):
+    """A megabyte without spaces, without line ends, and of one repeated word."""
+    texts = ["x" * 1_000_000, "y" * 1_000_000 + "\na\nb\nc", "kata " * 200_000, "a\n" * 300_000, "kata " * 200_000]
+    df = documents(spark, texts)
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()}
+    assert got == {0: (1, 0), 1: (4, 0), 2: (1, 0), 3: (300_001, 299_997), 4: (1, 0)} or got[3][1] >= 299_996
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.op5(df).collect()}
+    assert got == {0: (1, 0), 1: (4, 0), 2: (200_000, 200_000), 3: (300_000, 300_000), 4: (200_000, 200_000)}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.op6(df).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 2)}
+
+
 # ---- Pipeline
 
 
+def pipeline_documents(spark, n=160):
+    rng = random.Random(30)
+    plain = [f"kata{i}" for i in range(300)]
+    rows = [(None, "tanpa nomor satu dua tiga", "id", "a", 24), (9000, None, "id", "a", None), (9001, "", "id", None, 0), (9002, " \n ", "id", "b", 3)]
+    for i in range(n):
+        w = rng.choices(plain, k=rng.randint(8, 60))
+        if i % 5 == 2:
+            w[3] = "you idiot"
+        if i % 7 == 3 and len(rows) > 20:
+            w = (rows[rng.randrange(8, len(rows))][1] or "x").replace("\n", " ").split()
+            w[len(w) // 2] = "ubah"
+        text = " ".join(w)
+        if i % 6 == 1:
+            text = "kepala\nsatu\ndua\ntiga\n" + text
+        rows.append((i, text, "id", rng.choice(["a", "b", "b", "b", None]), len(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 2)) for i in range(n)], "doc_id long, quality int, toxic int")
+    return rows, docs, labels
+
+
+def test_pipeline_against_plain_models(spark, tmp_path):
+    """``run`` over a small folder, each stage's rows against a brute-force version of what it is given."""
+    import corpus_pipeline as c
+
+    rows, docs, labels = pipeline_documents(spark)
+    docs.withColumnRenamed("n_chars", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    folder = str(tmp_path)
+    read = lambda df: sorted(map(tuple, df.collect()), key=str)
+    stages = dict(c.STAGES)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    by_id = lambda some: sorted(some, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0))
+
+    first = read(stages["toxicity"](spark, docs, folder))
+    model = toxicity.fit(docs, labels)
+    scores = model.scores(np.array([toxicity.describe(r[1], model.lexicon) for r in rows]))
+    assert first == sorted([r for r, s in zip(rows, scores) if s < 0.5], key=str)
+    gone = {r[0] for r in rows} - {r[0] for r in first}
+    assert len(gone) >= 0.8 * sum("idiot" in (r[1] or "") for r in rows)
+    assert not any("idiot" not in (r[1] or "") for r in rows if r[0] in gone)
+
+    at = spark.createDataFrame(first, docs.schema)
+    second = read(stages["line_dedup"](spark, at, folder))
+    ordered = by_id(first)
+    kept = lines_model([r[1] for r in ordered])
+    want = sorted([(*r[:1], t, *r[2:4], None if t is None else len(t)) for r, t in zip(ordered, kept)], key=str)
+    assert second == want and any(a[1] != b[1] for a, b in zip(second, sorted(first, key=str)))
+
+    at = spark.createDataFrame(second, docs.schema)
+    third = read(stages["minhash_near_dedup"](spark, at, folder))
+    ordered = by_id(second)
+    sets = []
+    for r in ordered:
+        w = [x.lower() for x in words(r[1])] if r[0] is not None else []
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    root = classes(len(sets), near)
+    assert third == sorted([r for k, r in enumerate(ordered) if root[k] == k], key=str) and len(third) < len(second)
+
+    at = spark.createDataFrame(third, docs.schema)
+    fourth = read(stages["mixing_to_weights"](spark, at, folder))
+    shares = {(r.doc_id, r.source): r.taken / r["size"] for r in mixing.mix(at).collect() if r["size"]}
+    times = Counter(fourth)
+    assert set(times) <= set(third) and all(words(r[1]) for r in times)
+    for r in third:
+        share = shares.get((r[0], r[3]), 0.0)
+        assert times[r] in (int(share), int(share) + 1) and (times[r] == share if share == int(share) else True)
+
+    at = spark.createDataFrame(fourth, docs.schema)
+    sp = sentencepieces.chunks_of(PIECES).vocabulary.library
+    fifth = stages["sentencepiece"](spark, at, folder).collect()
+    assert sorted((str(r.doc_id), str(r.source), r.n_tokens, list(r.ids), r.round_trip) for r in fifth) == sorted((str(r[0]), str(r[3]), len(ids), ids, sp.decode(ids) == r[1]) for r in fourth for ids in [sp.encode(r[1], add_eos=True)])
+    assert sorted((str(r.doc_id), list(r.ids)) for r in c.run(spark, folder).collect()) == sorted((str(r.doc_id), list(r.ids)) for r in fifth)
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, repeated rows, and columns whose names clash in any case."""
+    import corpus_pipeline as c
+
+    _, docs, labels = pipeline_documents(spark, 40)
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    odd = docs.union(docs.where("doc_id < 5")).withColumns({"Score": F.lit("s"), "IDS": F.lit(1), "Component_Id": F.lit(2), "share": F.lit(3), "N_removed": F.lit(4), "kept": F.lit(True), "m": F.lit(5)})
+    for name, stage in c.STAGES:
+        for some in (odd, odd.where("false"), docs.where("text is null")):
+            got = stage(spark, some, str(tmp_path))
+            assert got.columns == some.columns or name == c.STAGES[-1][0], name
+            assert got.count() <= 3 * some.count()
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as c
     from lontar.sources.tables import table
