@@ -37,6 +37,8 @@ WINDOW = 35
 CONTEXT = 8
 ROUNDS = 6
 PACK_BYTES = 2 << 20
+#: Bytes of anchor keys that a bucket of the key space may hold, before equal ones of a pack are dropped.
+BUCKET_BYTES = 32 << 20
 LONGEST = WINDOW - 2 * CONTEXT
 _K = np.uint64(0x9E3779B97F4A7C15)
 _PACK = "gid long, docs array<long>, offsets binary, body binary, raw long, first binary, last binary, keys binary"
@@ -219,8 +221,10 @@ class Pack:
 
 def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], columns: str, kinds: list[pa.DataType]) -> DataFrame:
     """``doc_id`` and what ``each(kept words joined by spaces, words, removed words)`` gives for each document."""
-    buckets = partitions(docs.sparkSession)
     packs = checkpoint(_packed(text_batches(docs)))
+    # A bucket is one table of one task, so there are as many as the counted keys need, however many partitions there are.
+    asked_bytes = packs.agg(F.sum(F.length("keys"))).first()[0] or 0
+    buckets = max(partitions(docs.sparkSession), -(-asked_bytes // BUCKET_BYTES))
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("substrings")
