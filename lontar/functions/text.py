@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as Python's ``str.split`` and ``\s`` see it, for Java's regular expressions.
 SPACE = r"(?U)[\s\x1C-\x1F]"
@@ -35,6 +38,18 @@ def fold(text: Column) -> Column:
     return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
 
 
+@F.pandas_udf(T.StringType())
+def _nfkc(text: pd.Series) -> pd.Series:
+    return text.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+
+
+def compatible(text: Column) -> Column:
+    """The NFKC form of a text. Spark has no function for it; only texts with characters beyond Latin-1 letters, or with
+    compatibility characters among those, are handed over."""
+    odd = F.when(text.rlike(r"[^\x00-\x7F\u00C0-\u00FF]"), text)
+    return F.when(odd.isNotNull(), _nfkc(odd)).otherwise(text)
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
 
@@ -44,13 +59,13 @@ def blank(text: Column) -> Column:
 
 
 def squeezed(text: Column) -> Column:
-    """Folded, white-space runs as one space, stripped: what is compared in order."""
-    return F.trim(F.regexp_replace(fold(text), f"{SPACE}+", " "))
+    """In NFKC, folded, white-space runs as one space, stripped: what is compared in order."""
+    return F.trim(F.regexp_replace(fold(compatible(text)), f"{SPACE}+", " "))
 
 
 def compact(text: Column) -> Column:
-    """Folded, without any white space: what is compared for content."""
-    return F.regexp_replace(fold(text), f"{SPACE}+", "")
+    """In NFKC, folded, without any white space: what is compared for content."""
+    return F.regexp_replace(fold(compatible(text)), f"{SPACE}+", "")
 
 
 def words(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def fetch_records(results: DataFrame, accepted: Column) -> DataFrame:
@@ -60,3 +61,24 @@ def differences(rows: DataFrame, wanted: list[str], keys: str) -> DataFrame:
     """``missing`` and ``extra`` of a key set against the wanted one, and whether both are equal as sets."""
     want = F.array(*[F.lit(k) for k in wanted])
     return rows.withColumns({"missing": F.array_except(want, keys), "extra": F.array_except(keys, want)}).withColumn("equal", (F.size("missing") == 0) & (F.size("extra") == 0))
+
+
+def unique_names(rows: DataFrame, name: str, order: str, suffix: str = ".pdf") -> DataFrame:
+    """``rows`` with ``unique_name``: the first row of a name keeps it, later ones get ``-2``, ``-3`` and so on before the
+    suffix, numbers left out under which another row is named already."""
+    stem = F.regexp_replace(name, f"(?i){suffix.replace('.', chr(92) + '.')}$", "")
+    base = rows.select(stem.alias("_stem"), F.struct(*rows.columns).alias("_row")).withColumn("_pos", F.row_number().over(Window.partitionBy("_stem").orderBy(f"_row.{order}")))
+    numbered = r"^(.*)-([1-9]\d*)$"
+    taken = base.select(F.regexp_extract("_stem", numbered, 1).alias("of"), F.regexp_extract("_stem", numbered, 2).try_cast("int").alias("k")).where("of <> '' and k >= 2").distinct()
+    # The r-th row of a name gets r, and one more for each taken number that is not beyond what it would get.
+    shifted = taken.select(F.col("of").alias("_stem"), (F.col("k") - F.row_number().over(Window.partitionBy("of").orderBy("k")) + 1).alias("_pos"), F.lit(1).alias("_taken"))
+    both = base.withColumn("_taken", F.lit(0)).unionByName(shifted.withColumn("_row", F.lit(None).cast(base.schema["_row"].dataType)))
+    skipped = F.sum("_taken").over(Window.partitionBy("_stem").orderBy("_pos", F.desc("_taken")).rowsBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn("_n", F.col("_pos") + skipped).where("_taken = 0")
+    made = F.when(F.col("_pos") == 1, F.concat("_stem", F.lit(suffix))).otherwise(F.concat("_stem", F.lit("-"), F.col("_n").cast("string"), F.lit(suffix)))
+    return both.select("_row.*", made.alias("unique_name"))
+
+
+def batched(queue: DataFrame, place: str, workers: int) -> DataFrame:
+    """A queue in batches of as many as there are workers, the last one of those that remain."""
+    return queue.withColumn("batch", F.floor((F.col(place) - 1) / workers))

@@ -157,8 +157,16 @@ def pdf_link(pages: DataFrame, accepted, key: str = "page_id") -> DataFrame:
     return whole.select(key, "link", F.when(F.col("pass") == 0, text(own)).otherwise(F.coalesce(text(own), text(previous), text(following))).alias("filename"))
 
 
-def walk(links: DataFrame, most: int | None = None) -> DataFrame:
-    """Links over all pages, each once, in the order of page and place; the first ``most`` of them."""
+def walked_pages(most: int) -> int:
+    """How many pages of a listing a walk for ``most`` links visits at most: 20 links a page, and two pages to spare."""
+    return max(1, most // 20 + 2)
+
+
+def walk(links: DataFrame, most: int | None = None, page_no: str | None = None) -> DataFrame:
+    """Links over all pages, each once, in the order of page and place; the first ``most`` of them, from as many pages by
+    ``page_no`` as ``walked_pages`` allows."""
+    if most and page_no:
+        links = links.where(F.col(page_no) <= walked_pages(most))
     once = links.groupBy("href").agg(F.min(F.struct("page_id", "pos")).alias("at")).select("href", "at.page_id", "at.pos")
     ordered = once.orderBy("page_id", "pos", "href")
     return ordered.limit(most) if most else ordered

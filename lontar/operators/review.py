@@ -46,3 +46,22 @@ def toggled(log: DataFrame, key: str, value: str, seq: str) -> DataFrame:
 def flags(rows: DataFrame, saved: DataFrame, key: str) -> DataFrame:
     """``rows`` with ``verified``, false where nothing is saved."""
     return rows.join(saved.select(key, F.lit(True).alias("verified")), key, "left").withColumn("verified", F.coalesce("verified", F.lit(False)))
+
+
+# Names that a section had in other forms, and the parts of the identity.
+ALIASES = {
+    "petunjuk_barang_bukti": ("petunjuk_barang_bukti", "petunjuk_bb", "petunjuk/BB", "petunjuk/ bb"),
+    "siapa_yang_memutus": ("siapa_yang_memutus", "majelis_hakim", "hakim"),
+    "panitera_pengganti": ("panitera_pengganti", "panitera"),
+}
+IDENTITY = ("nama_lengkap", "tempat_lahir", "umur_tanggal_lahir", "jenis_kelamin", "kebangsaan", "tempat_tinggal", "agama", "pekerjaan")
+
+
+def section_text(sections: Column, key: str) -> Column:
+    """The text of a section of ``map<string,array<string>>``: the first of its names that has one; the identity of the
+    accused is put together from its parts if it has none itself."""
+    shown = lambda k: F.nullif(display(F.try_element_at(sections, F.lit(k))), F.lit(""))
+    own = F.coalesce(*[shown(k) for k in ALIASES.get(key, (key,))])
+    if key == "identitas_terdakwa":
+        own = F.coalesce(own, labelled({k: section_text(sections, k) for k in IDENTITY}))
+    return F.coalesce(own, F.lit(""))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lontar.functions import urls
-from lontar.operators import dedup, html
+from lontar.operators import crawl, dedup, html
 from lontar.plans.registry import query
 from lontar.sources.tables import table
 
@@ -97,12 +97,9 @@ SELECT page_id, CASE WHEN lower(s) LIKE '%.pdf' THEN s ELSE s || '.pdf' END AS n
 FROM (SELECT *, left(s, 4) AS stem, row_number() OVER (PARTITION BY left(s, 4) ORDER BY page_id) AS r FROM n)"""
 )
 def sanitize_filenames(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
     rows = table(spark, folder, "pages").select("page_id", urls.sanitized(F.substring_index("url", "//", -1)).alias("name"))
-    stem = F.left("name", F.lit(4))
-    r = F.row_number().over(Window.partitionBy(stem).orderBy("page_id"))
-    return rows.select("page_id", "name", F.when(r == 1, F.concat(stem, F.lit(".pdf"))).otherwise(F.concat(stem, F.lit("-"), r.cast("string"), F.lit(".pdf"))).alias("unique_name"))
+    named = crawl.unique_names(rows.withColumn("short", F.concat(F.left("name", F.lit(4)), F.lit(".pdf"))), "short", "page_id")
+    return named.select("page_id", "name", "unique_name")
 
 
 @query()

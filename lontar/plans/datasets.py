@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lontar.functions import text as T
 from lontar.functions import urls
-from lontar.operators import crawl, datasets, html, spans
+from lontar.operators import crawl, datasets, html, review, spans
 from lontar.plans.registry import query
 from lontar.sources import readers, sinks
 from lontar.sources.tables import table
@@ -332,3 +332,17 @@ def reference_sections(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = heading_sections(table(spark, folder, "documents"), "## ")
     return rows.where(F.col("title").isin("Sections", "Schema")).select("doc_id", "title", "body")
+
+
+@query(
+    """WITH m AS (SELECT conv_id, coalesce(max(CASE WHEN turn = 0 AND conv_id % 3 = 0 THEN nullif(text, '') END), max(CASE WHEN turn = 1 THEN nullif(text, '') END), '') AS judge, max(CASE WHEN turn = 0 THEN nullif(text, '') END) AS a, max(CASE WHEN turn = 2 THEN nullif(text, '') END) AS b FROM conversations GROUP BY conv_id)
+SELECT conv_id, judge, concat_ws(chr(10), 'nama lengkap: ' || a, 'agama: ' || b) AS identity FROM m"""
+)
+def section_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Sections under the names of older forms, and an identity put together from its parts."""
+    turn = lambda n: F.max(F.when(F.col("turn") == n, F.col("text")))
+    rows = table(spark, folder, "conversations").groupBy("conv_id").agg(*[turn(n).alias(f"t{n}") for n in range(3)])
+    one = lambda c: F.array(F.coalesce(c, F.lit("")))
+    sections = F.map_from_arrays(F.array(*[F.lit(k) for k in ("siapa_yang_memutus", "majelis_hakim", "nama_lengkap", "agama")]), F.array(one(F.when(F.col("conv_id") % 3 == 0, F.col("t0"))), one(F.col("t1")), one(F.col("t0")), one(F.col("t2"))))
+    rows = rows.select("conv_id", sections.alias("s"))
+    return rows.select("conv_id", review.section_text(F.col("s"), "siapa_yang_memutus").alias("judge"), review.section_text(F.col("s"), "identitas_terdakwa").alias("identity"))

@@ -47,6 +47,15 @@ def strict_json(lines: DataFrame, column: str, schema: str, place: Column) -> Da
     return rows.withColumn("_row", checked).select(*lines.columns, "_row.*").drop("_corrupt_record")
 
 
+def json_texts(spark: SparkSession, path: str) -> DataFrame:
+    """``path, text, bytes`` of the .json files below a folder, whole, without byte-order marks; none if it is not there."""
+    kind = "path string, text string, bytes int"
+    if not exists(spark, path):
+        return spark.createDataFrame([], kind)
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    return rows.where(F.lower("path").endswith(".json")).select("path", F.regexp_replace("value", "^\ufeff+", "").alias("text"), F.octet_length("value").alias("bytes"))
+
+
 def record_files(spark: SparkSession, path: str, schema: T.StructType, skipped_models: tuple[str, ...] = ()) -> DataFrame:
     """Completed records of ``corpus/model/output/*.json`` with ``corpus`` and ``model`` from their paths; an empty
     table if the path is not there."""

@@ -440,6 +440,29 @@ def test_page_titles_fall_back(spark):
     assert title("<title>akhir</title>") == "akhir" and title("<p>x</p>") is None
 
 
+def test_unique_names_skip_taken_numbers(spark):
+    names = ["a.pdf", "a.pdf", "a-2.pdf", "a.pdf", "a-4.pdf", "b.pdf", "a-2.pdf", "a.PDF", "a-02.pdf"]
+    from lontar.operators import crawl
+
+    df = spark.createDataFrame(list(enumerate(names)), "n int, name string")
+    got = [r.unique_name for r in crawl.unique_names(df, "name", "n").orderBy("n").collect()]
+    assert got == ["a.pdf", "a-3.pdf", "a-2.pdf", "a-5.pdf", "a-4.pdf", "b.pdf", "a-2-2.pdf", "a-6.pdf", "a-02.pdf"] and len(set(got)) == len(got)
+    queue = crawl.batched(spark.range(1, 8).withColumnRenamed("id", "place"), "place", 3)
+    assert sorted(r.batch for r in queue.collect()) == [0, 0, 0, 1, 1, 1, 2]
+    links = spark.createDataFrame([(p, p, f"u{p}") for p in range(1, 40)], "page_id long, pos long, href string")
+    assert html.walk(links, 100, "page_id").count() == html.walked_pages(100) == 7
+
+
+def test_compatible_forms_and_json_texts(spark, tmp_path):
+    r = one(spark, a=T.squeezed(F.lit("ﬁn  Ⅳ　x")), b=T.compact(F.lit("e\u0301 ½")), c=T.squeezed(F.lit("Plain é")), d=T.squeezed(F.lit(None).cast("string")))
+    assert (r.a, r.b, r.c, r.d) == ("fin iv x", "é1⁄2", "plain é", None)
+    (tmp_path / "x" / "y").mkdir(parents=True)
+    (tmp_path / "x" / "y" / "a.JSON").write_text("\ufeff{}", encoding="utf-8")
+    (tmp_path / "x" / "b.txt").write_text("x")
+    assert [(r.text, r.bytes) for r in readers.json_texts(spark, str(tmp_path / "x")).collect()] == [("{}", 5)]
+    assert readers.json_texts(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_names_with_escapes(spark):
     name = lambda x: one(spark, t=urls.sanitized(F.lit(x))).t
     assert (name("a%20b%2Fc"), name("50%"), name("a+b"), name("%zz.pdf"), name(" . ")) == ("a b_c.pdf", "50%.pdf", "a+b.pdf", "%zz.pdf", "putusan.pdf")
