@@ -7,7 +7,7 @@ import contextlib
 import ctypes
 import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -219,3 +219,36 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     """A-Z in lower case, everything else as it is."""
     upper = (raw >= 65) & (raw <= 90)
     return np.where(upper, raw + 32, raw).astype(np.uint8) if upper.any() else raw
+
+
+def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``flat[start : start + size]`` of each span, one after the other."""
+    return flat[np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(int(sizes.sum()))]
+
+
+class Known:
+    """Piece of text -> its number, and the ids of all pieces by number. Number 0 is that of the key None, whose ids are
+    given. A dictionary of numbers and a few arrays take a fraction of what lists of ids would."""
+
+    def __init__(self, ids: list[int]):
+        self.number: dict[str | None, int] = {None: 0}
+        self.flat, self.starts, self.sizes = np.array(ids, np.int32), np.array([0]), np.array([len(ids)])
+        self.added: list[tuple[np.ndarray, np.ndarray]] = []
+        self.bytes = 0
+
+    def add(self, keys: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.number)
+        self.number.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.added.append((flat, sizes))
+        self.bytes += 200 * len(keys) + 2 * sum(map(len, keys)) + 4 * len(flat)
+
+    def settle(self) -> None:
+        """Makes what was added readable."""
+        if self.added:
+            self.flat = np.concatenate([self.flat, *[f for f, _ in self.added]])
+            self.sizes = np.concatenate([self.sizes, *[s for _, s in self.added]])
+            self.starts, self.added = np.cumsum(self.sizes) - self.sizes, []
+
+    def ids(self, keys: Iterable[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+        numbers = np.fromiter(map(self.number.__getitem__, keys), np.int64, n)
+        return spread(self.flat, self.starts[numbers], self.sizes[numbers]), self.sizes[numbers]

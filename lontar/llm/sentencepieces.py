@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lontar.llm.common import held, slices, text_batches
+from lontar.llm.common import Known, held, slices, text_batches
 
 SPACE = "▁"
 #: Bytes that a worker's cache of chunks may take, by a rough count; half of them for each of its two generations.
@@ -178,45 +178,12 @@ class Vocabulary:
         return [symbol for symbol, size in zip(symbols, sizes, strict=True) if size]
 
 
-def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``flat[start : start + size]`` of each span, one after the other."""
-    return flat[np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(int(sizes.sum()))]
-
-
-class Known:
-    """Chunk (without its first U+2581) -> its number, and the ids of all chunks by number. Number 0, of the key None, is
-    the end id."""
-
-    def __init__(self, end: int):
-        self.number: dict[str | None, int] = {None: 0}
-        self.flat, self.starts, self.sizes = np.array([end], np.int32), np.array([0]), np.array([1])
-        self.added: list[tuple[np.ndarray, np.ndarray]] = []
-        self.bytes = 0
-
-    def add(self, keys: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self.number)
-        self.number.update(zip(keys, range(n, n + len(keys)), strict=True))
-        self.added.append((flat, sizes))
-        self.bytes += 200 * len(keys) + 2 * sum(map(len, keys)) + 4 * len(flat)
-
-    def settle(self) -> None:
-        """Makes what was added readable."""
-        if self.added:
-            self.flat = np.concatenate([self.flat, *[f for f, _ in self.added]])
-            self.sizes = np.concatenate([self.sizes, *[s for _, s in self.added]])
-            self.starts, self.added = np.cumsum(self.sizes) - self.sizes, []
-
-    def ids(self, keys: Iterable[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
-        numbers = np.fromiter(map(self.number.__getitem__, keys), np.int64, n)
-        return spread(self.flat, self.starts[numbers], self.sizes[numbers]), self.sizes[numbers]
-
-
 class Chunks:
     """The chunks that a worker has met, in two generations."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known, self.old = Known(vocabulary.end), Known(vocabulary.end)
+        self.known, self.old = Known([vocabulary.end]), Known([vocabulary.end])
 
     def fill(self, keys: Iterable[str | None]) -> int:
         """Makes all ``keys`` known, new ones by the agenda and checked by the library; how many that has corrected."""
@@ -244,7 +211,7 @@ class Chunks:
 
     def aged(self) -> None:
         if self.known.bytes > CACHE_BYTES // 2:
-            self.old, self.known = self.known, Known(self.vocabulary.end)
+            self.old, self.known = self.known, Known([self.vocabulary.end])
 
 
 def chunks_of(model: str) -> Chunks:

@@ -21,7 +21,8 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import held, partitions, scratch, slices, text_batches
+from lontar.llm.common import Known, held, partitions, scratch, slices, text_batches
 
 MAGIC = b"LTK1"
 HEAD = struct.Struct("<4sHHIQQ")
 BLOCK = 4096
 IMAGE_IDS = 1 << 20
-CACHE = 500_000
+#: Bytes that a worker's cache of pieces may take, by a rough count; half of them for each of its two generations.
+CACHE_BYTES = 200 << 20
 #: Marks the key of a text's first piece, before which no space stands; texts that hold it are encoded whole.
 FIRST = "\x00"
 #: Marks the key of a piece with white space at an edge, which the quick cut must not find.
@@ -120,60 +122,73 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size(with_added_tokens=True)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cache, self.old = {}, {}
-
-    def fill(self, missing: list[str]) -> None:
-        """Encodes the pieces that neither generation of the cache holds."""
-        cache, old = self.cache, self.old
-        new = []
-        for p in dict.fromkeys(missing):
-            if (found := old.get(p)) is None:
-                new.append(p)
+        # In a byte-level vocabulary a character of a token stands for a byte.
+        self.lengths = np.zeros(self.vocabulary, np.int64)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.lengths[i] = len(token)
+        self.known, self.old = Known([]), Known([])
+
+    def fill(self, keys: Iterable[str]) -> None:
+        """Makes all ``keys`` known."""
+        missing = list(set(keys).difference(self.known.number))
+        again = [k for k in missing if k in self.old.number]
+        if again:
+            self.known.add(again, *self.old.ids(again, len(again)))
+        new = [k for k in missing if k not in self.old.number]
+        # Pieces with a space in front are encoded in a row, as in a text, and told apart by the bytes of their tokens.
+        plain = [p for p in new if p[0] != FIRST]
+        alone = [p for p in new if p[0] == FIRST]
+        for at in range(0, len(plain), 4096):
+            some = plain[at : at + 4096]
+            ids = np.array(self.library.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, np.int32)
+            wanted = np.cumsum(np.fromiter([len(p.encode()) + 1 for p in some], np.int64, len(some)))
+            ends = np.cumsum(self.lengths[ids])
+            last = np.searchsorted(ends, wanted)
+            if len(ends) and last[-1] == len(ends) - 1 and (ends[last] == wanted).all():
+                self.known.add(some, ids, np.diff(last, prepend=-1))
             else:
-                cache[p] = found
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for p, e in zip(some, self.library.encode_batch_fast([raw_piece(p) for p in some], add_special_tokens=False), strict=True):
-                ids = e.ids
-                cache[p] = struct.pack(f"<{len(ids)}I", *ids)
+                alone += some
+        for at in range(0, len(alone), 4096):
+            some = alone[at : at + 4096]
+            found = [e.ids for e in self.library.encode_batch_fast([raw_piece(p) for p in some], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.known.add(some, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes)
+        self.known.settle()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text. Pieces that begin or end with white space, or are empty, are never in the cache: a text
-        that has one is cut again by the full rule."""
-        get, added = self.cache.get, self.added
-        out: list[bytes | None] = [None] * len(texts)
-        waiting: list[tuple[int, list[str], list[bytes | None]]] = []
-        missing: list[str] = []
+        """The ids of each text. A piece that is empty or begins or ends with white space shows that its text is to be cut
+        again by the full rule."""
+        whole: dict[int, bytes] = {}
+        keys: list[list[str]] = []
+        recut = []
         for k, text in enumerate(texts):
             if not text:
-                out[k] = b""
-                continue
-            if FIRST in text or any(a in text for a in added):
+                keys.append([])
+            elif FIRST in text or any(a in text for a in self.added):
                 ids = self.library.encode(text, add_special_tokens=False).ids
-                out[k] = struct.pack(f"<{len(ids)}I", *ids)
-                continue
-            pieces = text.split(" ")
-            first = pieces[0]
-            pieces[0] = FIRST + first
-            found = list(map(get, pieces))
-            if None in found:
-                absent = [p for p, v in zip(pieces, found, strict=True) if v is None]
-                if not first or first[-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in absent):
-                    pieces = _CUT.split(text)
-                    pieces = [EDGE * (p[0].isspace() or p[-1].isspace()) + (p if k2 else FIRST + p) for k2, p in enumerate(pieces)]
-                    found = list(map(get, pieces))
-                    absent = [p for p, v in zip(pieces, found, strict=True) if v is None]
-                missing += absent
-                waiting.append((k, pieces, found))
+                whole[k] = struct.pack(f"<{len(ids)}I", *ids)
+                keys.append([])
             else:
-                out[k] = b"".join(found)
-        self.fill(missing)
-        get = self.cache.__getitem__
-        for k, pieces, found in waiting:
-            out[k] = b"".join([get(p) if v is None else v for p, v in zip(pieces, found, strict=True)])
-        if len(self.cache) > CACHE:
-            self.old, self.cache = self.cache, {}
-        return out
+                pieces = text.split(" ")
+                if not pieces[0] or pieces[0][-1].isspace():
+                    recut.append(k)
+                pieces[0] = FIRST + pieces[0]
+                keys.append(pieces)
+        missing = set(chain.from_iterable(keys)).difference(self.known.number)
+        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+        if odd:
+            recut += [k for k, pieces in enumerate(keys) if not odd.isdisjoint(pieces)]
+        for k in set(recut):
+            pieces = _CUT.split(texts[k])
+            keys[k] = [EDGE * (p[0].isspace() or p[-1].isspace()) + (p if n else FIRST + p) for n, p in enumerate(pieces)]
+        self.fill(chain(missing - odd, *[keys[k] for k in set(recut)]))
+        n = np.array([len(x) for x in keys], np.int64)
+        ids, sizes = self.known.ids(chain.from_iterable(keys), int(n.sum()))
+        at = 4 * np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(n))]
+        data = ids.astype("<u4").tobytes()
+        if self.known.bytes > CACHE_BYTES // 2:
+            self.old, self.known = self.known, Known([])
+        return [whole.get(k, data[a:b]) for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))]
 
 
 def encoder_of(path: str) -> Encoder:
