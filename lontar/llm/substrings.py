@@ -1,19 +1,21 @@
 """Exact removal of repeated passages, found by recompression.
 
-Every text is parsed into a hierarchy of symbols. The first round names runs of an equal word, each later round names
-pairs: a symbol's name, hashed with the round, makes it a left or a right one, and a left one followed by a right one
-becomes one symbol of the next level. A name is a fingerprint of what it stands for, so all partitions give equal
-passages equal names without a table of names. What a round does inside a passage depends on the passage alone except
-at its edges, so every window of ``WINDOW`` words has, at each level, a known range of interior symbols. A window's
-anchor is the symbol of the highest level that lies in that range and ``CONTEXT`` words or more from both edges, the
-one of least name if there are several: equal windows have equal anchors at equal places. Two Spark rounds follow. The
-first finds the anchors (with the ``CONTEXT`` words on both sides) that occur at more than one place anywhere; the
-second compares the windows of those anchors by 128-bit fingerprints of all their words, which verifies the repeats and
-leaves no chance find. Covered words go.
-
-Texts travel in packs of about 2 MB, compressed, with their anchors. What a pack asks goes to buckets of the key space
-as one array of distinct keys for each bucket, and what returns is one bit for each key. So a passage that one pack
-holds a million times is asked once, and a passage of all packs costs one key from each.
+A text's letters are the fingerprints of its words. Spark rounds replace runs and pairs of symbols by new symbols whose
+names all partitions share: the first round names the runs of an equal letter, each later round the pairs of a left
+symbol and a right one, which side a symbol takes being a hash of its name and the round. In a round every pack of texts
+asks for its distinct new runs or pairs, dealt over buckets of the key space; a bucket numbers those that occur more
+than once anywhere, and that number is the name. One that occurs once gets none and ends there.
+
+What a round does inside a passage depends on the passage alone except at its edges, so a window of ``WINDOW`` words has,
+at each level, a known range of interior symbols, and equal windows have equal ones. A window with an interior symbol
+that nothing else shares is therefore unlike all others and drops out; later rounds ask only for pairs inside windows
+that are left. Windows whose interior symbols are shared at all levels are the revealed repeats. A last round verifies
+them by 128-bit fingerprints of all their words, which leaves no chance find. Covered words go.
+
+Texts travel in packs of about 2 MB, compressed. What a pack asks goes to the buckets as one array of distinct keys for
+each bucket, and what returns is one number for each key. So a passage that one pack holds a million times is asked
+once, and a passage of all packs costs one key from each. A pack parses its texts again in each round, from the names
+that it has been told so far: that costs less than carrying all symbols through the shared folder.
 
 Null texts count as empty; empty texts and texts of fewer words than a window keep every word. Repeated rows are
 documents of their own, so each removes the other's windows. Texts of any length are taken whole. Other columns are not
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,92 +34,78 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import as_bytes, bytes_hash, checkpoint, held, mix, partitions, slices, span_hash, text_batches, words_of
+from lontar.llm.common import Shelf, as_bytes, bytes_hash, held, mix, partitions, slices, span_hash, text_batches, words_of
 
 WINDOW = 35
-CONTEXT = 8
 ROUNDS = 6
 PACK_BYTES = 2 << 20
-#: Bytes of anchor keys that a bucket of the key space may hold, before equal ones of a pack are dropped.
+#: Bytes of keys that a bucket of the key space may hold, before equal ones of a pack are dropped.
 BUCKET_BYTES = 32 << 20
-LONGEST = WINDOW - 2 * CONTEXT
+#: Symbols do not grow beyond this many words, so that windows keep interior symbols at high levels.
+LONGEST = 19
 _K = np.uint64(0x9E3779B97F4A7C15)
-_PACK = "gid long, docs array<long>, offsets binary, body binary, raw long, first binary, last binary, keys binary"
-
-
-def _least_of(names: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """The index of the least name in each ``[lo, hi)`` (not empty), the leftmost of equal ones."""
-    best = [np.arange(len(names))]
-    while (1 << len(best)) <= int((hi - lo).max(initial=1)):
-        half = 1 << (len(best) - 1)
-        a = best[-1]
-        b = np.concatenate([a[half:], a[-half:] if len(a) >= half else a])[: len(a)]
-        best.append(np.where(names[b] < names[a], b, a))
-    k = np.frexp((hi - lo).astype(float))[1] - 1
-    table = np.stack(best)
-    a, b = table[k, lo], table[k, hi - (1 << k)]
-    return np.where(names[b] < names[a], b, a)
-
-
-def anchors(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all windows of texts whose word hashes are ``words`` (text ``d`` from ``first[d]``): runs of windows with one
-    anchor, as the first and the last window's start, and the anchor's key."""
-    n = len(words)
-    counts = np.diff(first)
-    doc_end = np.repeat(first[1:], counts)
-    at = np.arange(n)
-    s = at[at + WINDOW <= doc_end]
-    if not len(s):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    names, begin, lo, hi = words, at, s.copy(), s + WINDOW
-    chosen_a, chosen_b = np.full(len(s), -1), np.full(len(s), -1)
-    for level in range(ROUNDS + 1):
-        end = np.append(begin[1:], n)
-        starts = np.zeros(n + 2, np.int64)  # symbols that start before a word
-        starts[begin + 1] = 1
-        starts = np.cumsum(starts)
-        cl = np.maximum(lo, starts[s + CONTEXT])
-        ch = np.minimum(hi, np.searchsorted(end, s + WINDOW - CONTEXT, side="right"))
-        some = np.flatnonzero(ch > cl)
-        if len(some):
-            k = _least_of(names, cl[some], ch[some])
-            chosen_a[some], chosen_b[some] = begin[k], end[k]
-        if level == ROUNDS:
-            break
-        m = len(names)
-        same_doc = np.append(doc[begin[1:]] == doc[begin[:-1]], False)
-        length = end - begin
-        if level == 0:
-            equal = np.append((names[1:] == names[:-1]), False) & same_doc
-            head = np.append(True, ~equal[:-1])
+_PACK = "gid long, docs array<long>, offsets binary, body binary, raw long, n_words long"
+
+
+class Parse:
+    """The symbols of texts whose word hashes are ``words`` (text ``d`` from ``first[d]``), level by level, and the
+    windows that may still occur elsewhere. ``wanted`` gives the runs or pairs that the next round has to name, as two
+    arrays; ``name`` takes their names, 0 for those that occur once."""
+
+    def __init__(self, words: np.ndarray, first: np.ndarray):
+        at = np.arange(len(words))
+        counts = np.diff(first)
+        self.level, self.names, self.length = 0, words, np.ones(len(words), np.int64)
+        self.doc = np.repeat(np.arange(len(counts)), counts)
+        #: Starts of the windows, and the range of symbols certain to be the same in equal windows.
+        self.windows = at[at + WINDOW <= np.repeat(first[1:], counts)]
+        self.lo, self.hi = self.windows.copy(), self.windows + WINDOW
+
+    def wanted(self) -> list[np.ndarray]:
+        names, m = self.names, len(self.names)
+        mates = np.append(self.doc[1:] == self.doc[:-1], False)[:m]
+        if self.level == 0:
+            head = np.append(True, ~((names[1:] == names[:-1]) & mates[:-1]))[:m]
             run = np.cumsum(head) - 1
-            size = np.bincount(run)
-            fits = size[run] <= LONGEST
-            keep = head | ~fits
-            run_end = np.cumsum(size)[run]
-            lo, hi = np.where(lo < m, run_end[np.minimum(lo, m - 1)], m), (run_end - size[run])[np.maximum(hi - 1, 0)]
-            renamed = np.where(fits & (size[run] > 1), mix(names * _K + size[run].astype(np.uint64)), names)
-        else:
-            right = (mix(names + np.uint64(level * int(_K) % (1 << 64))) & np.uint64(1)).astype(bool)
-            joins = np.zeros(m, bool)
-            joins[:-1] = ~right[:-1] & right[1:] & same_doc[:-1] & (length[:-1] + length[1:] <= LONGEST)
-            keep = np.append(True, ~joins[:-1])
-            renamed = names.copy()
-            j = np.flatnonzero(joins)
-            renamed[j] = mix(mix(names[j] + np.uint64(level)) * _K + names[j + 1])
-            lo = lo + right[np.minimum(lo, m - 1)]
-            hi = hi - ~right[np.maximum(hi - 1, 0)]
-        place = np.append(np.cumsum(keep) - 1, int(keep.sum()))
-        hi = np.maximum(hi, 0)
-        empty = hi <= lo
-        lo, hi = place[np.minimum(lo, m)], place[np.minimum(hi, m)]
-        hi = np.where(empty, lo, hi)
-        names, begin = renamed[keep], begin[keep]
-    change = np.flatnonzero(np.append(True, (chosen_a[1:] != chosen_a[:-1]) | (chosen_b[1:] != chosen_b[:-1]) | (s[1:] != s[:-1] + 1)))
-    a, b = chosen_a[change], chosen_b[change]
-    keys = span_hash(words, a - CONTEXT, b + CONTEXT)
-    return s[change], s[np.append(change[1:], len(s)) - 1], keys
+            size = np.bincount(run)[run]
+            last = np.append(np.flatnonzero(head)[1:], m)[run]
+            self.lo, self.hi = last[self.lo], (last - size)[self.hi - 1]
+            whole = ((size > 1) & (size <= LONGEST) & self._asked(size))[np.flatnonzero(head)][run]
+            self.at, self.keep, self.grown = np.flatnonzero(whole & head), head | ~whole, np.where(whole, size, 1)
+            return [names[self.at], mix(size[self.at].astype(np.uint64) * _K)]
+        right = (mix(names + np.uint64(self.level * int(_K) % (1 << 64))) & np.uint64(1)).astype(bool)
+        # A right symbol at the start of a range may belong to a pair with what stands before it, and so at its end.
+        self.lo, self.hi = self.lo + right[np.minimum(self.lo, m - 1)], self.hi - ~right[np.maximum(self.hi - 1, 0)]
+        joins = np.zeros(m, bool)
+        joins[:-1] = ~right[:-1] & right[1:] & mates[:-1] & (self.length[:-1] + self.length[1:] <= LONGEST)
+        joins &= self._asked(np.full(m, 2))
+        self.at = np.flatnonzero(joins)
+        self.keep = np.append(True, ~joins[:-1])[:m]
+        self.grown = self.length.copy()
+        self.grown[self.at] += self.length[self.at + 1]
+        return [names[self.at], mix(names[self.at + 1])]
+
+    def _asked(self, size: np.ndarray) -> np.ndarray:
+        """Whether the symbol at each place and the ``size - 1`` after it lie in the range of a window."""
+        some = self.hi > self.lo
+        edge = np.zeros(len(size) + 1, np.int64)
+        np.maximum.at(edge, self.lo[some], self.hi[some])
+        return np.maximum.accumulate(edge)[:-1] >= np.arange(len(size)) + size
+
+    def name(self, found: np.ndarray) -> None:
+        new = self.names.copy()
+        new[self.at] = found
+        dead = np.zeros(len(new), bool)
+        dead[self.at] = found == 0
+        place = np.append(np.cumsum(self.keep) - 1, int(self.keep.sum()))
+        some = self.hi > self.lo
+        lo, hi = place[np.where(some, self.lo, 0)], place[np.where(some, self.hi, 0)]
+        keep = self.keep
+        self.names, self.doc, self.length = new[keep], self.doc[keep], self.grown[keep]
+        sums = np.append(0, np.cumsum(dead[keep]))
+        left = np.flatnonzero(~some | (sums[hi] == sums[lo]))
+        self.windows, self.lo, self.hi = self.windows[left], np.where(some, lo, 0)[left], np.where(some, hi, 0)[left]
+        self.level += 1
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -126,10 +115,8 @@ def _packed(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", PACK_BYTES):
                 raw, starts = as_bytes(part.column(1))
-                begin, end, first = words_of(raw, starts)
-                a, b, keys = anchors(bytes_hash(raw, begin, end), first)
-                row = (base + k, part.column(0).to_pylist(), starts.tobytes(), codec.compress(raw.tobytes(), asbytes=True), len(raw), codec.compress(np.diff(a, prepend=0).astype(np.int32).tobytes(), asbytes=True), codec.compress((b - a).astype(np.int32).tobytes(), asbytes=True), keys.tobytes())
-                kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                row = (base + k, part.column(0).to_pylist(), starts.tobytes(), codec.compress(raw.tobytes(), asbytes=True), len(raw), len(words_of(raw, starts)[0]))
+                kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.int64())
                 k += 1
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=[x.split()[0] for x in _PACK.split(", ")])
 
@@ -137,49 +124,47 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 class Asked:
-    """A pack's distinct keys of one or two 64-bit words, by bucket; the lowest bit of the last word says "more than once here"."""
+    """A pack's distinct keys of two 64-bit words, by bucket; the lowest bit of the last word says "more than once here"."""
 
     def __init__(self, keys: list[np.ndarray], buckets: int):
-        low = [*keys[:-1], keys[-1] >> np.uint64(1)]
-        if len(low) == 1:
-            distinct, self.inverse, counts = np.unique(low[0], return_inverse=True, return_counts=True)
-            self.columns = [distinct]
-        else:
-            order = np.lexsort(low[::-1])
-            a, b = low[0][order], low[1][order]
-            new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-            self.inverse = np.empty(len(a), np.int64)
-            self.inverse[order] = np.cumsum(new) - 1
-            at = np.flatnonzero(new)
-            counts = np.diff(np.append(at, len(a)))
-            self.columns = [a[at], b[at]]
-        self.columns[-1] = (self.columns[-1] << np.uint64(1)) | (counts > 1).astype(np.uint64)
-        bucket = (mix(self.columns[0] + _K) % np.uint64(buckets)).astype(np.int64) if len(low) > 1 else (mix(distinct + _K) % np.uint64(buckets)).astype(np.int64)
+        low = [keys[0], keys[1] >> np.uint64(1)]
+        order = np.lexsort(low[::-1])
+        a, b = low[0][order], low[1][order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+        self.inverse = np.empty(len(a), np.int64)
+        self.inverse[order] = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        counts = np.diff(np.append(at, len(a)))
+        self.columns = [a[at], (b[at] << np.uint64(1)) | (counts > 1).astype(np.uint64)]
+        bucket = (mix(mix(a[at]) + b[at]) % np.uint64(buckets)).astype(np.int64)
         self.order = np.argsort(bucket, kind="stable")
         self.bucket = bucket[self.order]
         self.cuts = np.flatnonzero(np.append(True, self.bucket[1:] != self.bucket[:-1]))[: len(self.bucket)]
 
     def blobs(self) -> Iterator[tuple[int, bytes]]:
-        for a, b in zip(self.cuts, np.append(self.cuts[1:], len(self.bucket)), strict=True):
+        for a, b in zip(self.cuts, np.append(self.cuts, len(self.bucket))[1:], strict=True):
             yield int(self.bucket[a]), b"".join(c[self.order[a:b]].tobytes() for c in self.columns)
 
-    def answered(self, bits: dict[int, bytes]) -> np.ndarray:
-        """For each key asked, whether it occurs more than once."""
-        out = np.zeros(len(self.bucket), bool)
-        for a, b in zip(self.cuts, np.append(self.cuts[1:], len(self.bucket)), strict=True):
-            out[self.order[a:b]] = np.unpackbits(np.frombuffer(bits[int(self.bucket[a])], np.uint8), count=b - a)
+    def answered(self, numbers: dict[int, bytes]) -> np.ndarray:
+        """For each key asked, a number that it shares with its equals everywhere, or 0 if it occurs once."""
+        out = np.zeros(len(self.bucket), np.uint64)
+        codec = pa.Codec("zstd")
+        for a, b in zip(self.cuts, np.append(self.cuts, len(self.bucket))[1:], strict=True):
+            bucket = int(self.bucket[a])
+            rank = np.frombuffer(codec.decompress(numbers[bucket], 4 * int(b - a), asbytes=True), np.uint32).astype(np.uint64)
+            out[self.order[a:b]] = np.where(rank > 0, rank + np.uint64(bucket << 32), np.uint64(0))
         return out[self.inverse]
 
 
-def _repeated(asked: DataFrame, width: int) -> DataFrame:
-    """``gid, bits array<struct<bucket,bits>>``: which keys of each blob occur in another one, or twice in one."""
+def _numbered(asked: DataFrame) -> DataFrame:
+    """``gid, bucket, numbers``: for each key of each blob its rank among those keys of the bucket that occur in several
+    blobs, or twice in one; 0 for the rest."""
 
     def run(table: pa.Table) -> pa.Table:
-        blobs = [np.frombuffer(x.as_buffer(), np.uint64).reshape(width, -1) for x in table.column("blob")]
-        sizes = [b.shape[1] for b in blobs]
+        blobs = [np.frombuffer(x.as_buffer(), np.uint64).reshape(2, -1) for x in table.column("blob")]
         keys = np.concatenate(blobs, axis=1)
-        weight = 1 + (keys[-1] & np.uint64(1)).astype(np.int64)
-        keys = [*keys[:-1], keys[-1] >> np.uint64(1)]
+        weight = 1 + (keys[1] & np.uint64(1)).astype(np.int64)
+        keys = [keys[0], keys[1] >> np.uint64(1)]
         order = np.lexsort(keys[::-1])
         new = np.zeros(len(order), bool)
         new[:1] = True
@@ -187,82 +172,88 @@ def _repeated(asked: DataFrame, width: int) -> DataFrame:
             new[1:] |= k[order[1:]] != k[order[:-1]]
         group = np.cumsum(new) - 1
         many = np.bincount(group, weight[order]) > 1
-        flags = np.empty(len(order), bool)
-        flags[order] = many[group]
-        parts = np.split(flags, np.cumsum(sizes)[:-1])
-        return pa.table({"gid": table.column("gid"), "bucket": table.column("bucket"), "bits": pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())})
+        numbers = np.empty(len(order), np.uint32)
+        numbers[order] = np.where(many, np.cumsum(many), 0)[group]
+        parts, codec = np.split(numbers, np.cumsum([b.shape[1] for b in blobs])[:-1]), pa.Codec("zstd", 1)
+        return pa.table({"gid": table.column("gid"), "bucket": table.column("bucket"), "numbers": pa.array([codec.compress(p.tobytes(), asbytes=True) for p in parts], pa.binary())})
 
-    answers = asked.groupBy("bucket").applyInArrow(run, "gid long, bucket int, bits binary")
-    return answers.groupBy("gid").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))
+    return asked.groupBy("bucket").applyInArrow(run, "gid long, bucket int, numbers binary")
 
 
 class Pack:
-    """A pack's words, its anchors, and the windows of the anchors that occur more than once."""
+    """A pack's words and the parse of its texts, as far as names are ``told``."""
 
-    def __init__(self, row: dict, buckets: int, bits: list[dict] | None):
+    def __init__(self, row: dict, buckets: int):
         self.raw = np.frombuffer(pa.Codec("zstd").decompress(row["body"], row["raw"], asbytes=True), np.uint8) if row["raw"] else np.zeros(0, np.uint8)
         self.offsets = np.frombuffer(row["offsets"], np.int64)
         self.begin, self.end, self.first = words_of(self.raw, self.offsets)
-        keys = np.frombuffer(row["keys"], np.uint64)
-        jump, extra = (np.frombuffer(pa.Codec("zstd").decompress(row[c], 4 * len(keys), asbytes=True), np.int32).astype(np.int64) if len(keys) else np.zeros(0, np.int64) for c in ("first", "last"))
-        hot = Asked([keys], buckets).answered({x["bucket"]: x["bits"] for x in bits}) if len(keys) else np.zeros(0, bool)
-        start, n = np.cumsum(jump)[hot], extra[hot] + 1
-        self.windows = np.repeat(start - np.append(0, np.cumsum(n))[:-1], n) + np.arange(int(n.sum()))
+        told: dict[int, dict[int, bytes]] = {}
+        for x in row["told"] or ():
+            told.setdefault(x["level"], {})[x["bucket"]] = x["numbers"]
+        self.told = told
+        self.letters = bytes_hash(self.raw, self.begin, self.end)
+        self.parse = Parse(self.letters, self.first)
+        for level in range(min(row["levels"], ROUNDS)):
+            asked = Asked(self.parse.wanted(), buckets)
+            found = asked.answered(told.get(level, {}))
+            self.parse.name(np.where(found > 0, found + np.uint64((level + 1) << 58), found))
 
     def fingerprints(self) -> list[np.ndarray]:
-        return [span_hash(bytes_hash(self.raw, self.begin, self.end, k), self.windows, self.windows + WINDOW, k) for k in (0, 1)]
+        s = self.parse.windows
+        return [span_hash(x, s, s + WINDOW, k) for k, x in enumerate((self.letters, bytes_hash(self.raw, self.begin, self.end, 1)))]
+
+    def wanted(self) -> list[np.ndarray]:
+        """The keys that the next round has to number: runs or pairs, after the last level whole windows."""
+        return self.parse.wanted() if self.parse.level < ROUNDS else self.fingerprints()
 
     def removed(self, hit: np.ndarray) -> np.ndarray:
         edge = np.zeros(len(self.begin) + 1, np.int64)
-        np.add.at(edge, self.windows[hit], 1)
-        np.add.at(edge, self.windows[hit] + WINDOW, -1)
+        np.add.at(edge, self.parse.windows[hit], 1)
+        np.add.at(edge, self.parse.windows[hit] + WINDOW, -1)
         return np.cumsum(edge)[:-1] > 0
 
 
 def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], columns: str, kinds: list[pa.DataType]) -> DataFrame:
     """``doc_id`` and what ``each(kept words joined by spaces, words, removed words)`` gives for each document."""
-    packs = checkpoint(_packed(text_batches(docs)))
-    # A bucket is one table of one task, so there are as many as the counted keys need, however many partitions there are.
-    asked_bytes = packs.agg(F.sum(F.length("keys"))).first()[0] or 0
-    buckets = max(partitions(docs.sparkSession), -(-asked_bytes // BUCKET_BYTES))
-
-    def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held("substrings")
-        for batch in batches:
-            for gid, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if keys:
-                    yield _blobs(gid, Asked([np.frombuffer(keys, np.uint64)], buckets))
-
-    def _blobs(gid: int, asked: Asked) -> pa.RecordBatch:
-        found = list(asked.blobs())
-        return pa.RecordBatch.from_arrays([pa.array([gid] * len(found), pa.int64()), pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["gid", "bucket", "blob"])
-
-    schema = "gid long, bucket int, blob binary"
-    known = checkpoint(_repeated(packs.select("gid", "keys").mapInArrow(ask_anchors, schema), 1))
-
-    def ask_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spark = docs.sparkSession
+    shelf = Shelf(spark, "substrings")
+    packs = shelf.put(_packed(text_batches(docs)))
+    # A bucket is one table of one task, so there are as many as the counted words need, however many partitions there
+    # are. No round has more keys than words. A name has 26 bits for the bucket and 32 for the number in it.
+    most = 16 * (packs.agg(F.sum("n_words")).first()[0] or 0)
+    buckets = max(partitions(spark), -(-most // BUCKET_BYTES))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("substrings")
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                pack = Pack(row, buckets, row["anchor_bits"])
-                if len(pack.windows):
-                    yield _blobs(row["gid"], Asked(pack.fingerprints(), buckets))
+                found = list(Asked(Pack(row, buckets).wanted(), buckets).blobs())
+                yield pa.RecordBatch.from_arrays([pa.array([row["gid"]] * len(found), pa.int64()), pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["gid", "bucket", "blob"])
+
+    answers: list[DataFrame] = []
 
-    # Both uses below take every column of this join, so Spark shuffles the packs once.
-    with_anchors = packs.join(known.withColumnRenamed("bits", "anchor_bits"), "gid", "left")
-    verified = _repeated(with_anchors.mapInArrow(ask_windows, schema), 2)
-    both = with_anchors.join(verified.withColumnRenamed("bits", "window_bits"), "gid", "left")
+    def told() -> DataFrame:
+        """The packs, with all that the rounds have answered."""
+        state = packs.withColumn("levels", F.lit(len(answers)))
+        if not answers:
+            return state.withColumn("told", F.lit(None).cast("array<struct<level:int,bucket:int,numbers:binary>>"))
+        known = reduce(DataFrame.unionByName, answers).groupBy("gid").agg(F.collect_list(F.struct("level", "bucket", "numbers")).alias("told"))
+        return state.join(known, "gid", "left")
+
+    for level in range(ROUNDS + 1):
+        asked = told().mapInArrow(ask, "gid long, bucket int, blob binary")
+        answers.append(shelf.put(_numbered(asked).withColumn("level", F.lit(level))))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held("substrings")
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                pack = Pack(row, buckets, row["anchor_bits"])
+                pack = Pack(row, buckets)
                 gone = np.zeros(len(pack.begin), bool)
-                if len(pack.windows):
-                    gone = pack.removed(Asked(pack.fingerprints(), buckets).answered({x["bucket"]: x["bits"] for x in row["window_bits"]}))
+                if len(pack.parse.windows):
+                    gone = pack.removed(Asked(pack.fingerprints(), buckets).answered(pack.told[ROUNDS]) > 0)
                 raw, out = pack.raw.tobytes(), []
                 sums = np.append(0, np.cumsum(gone))
                 for d in range(len(row["docs"])):
@@ -274,7 +265,7 @@ def dedup_passages(docs: DataFrame, each: Callable[[bytes, int, int], tuple], co
                     out.append(each(b" ".join(words), b - a, n_gone))
                 yield pa.RecordBatch.from_arrays([pa.array(row["docs"], pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]], names=["doc_id", *[c.split()[0] for c in columns.split(", ")]])
 
-    return both.mapInArrow(finish, f"doc_id long, {columns}")
+    return told().mapInArrow(finish, f"doc_id long, {columns}")
 
 
 def kept_texts(docs: DataFrame) -> DataFrame:

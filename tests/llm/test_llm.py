@@ -225,21 +225,34 @@ def test_passage_dedup(spark):
     assert substrings.op5(documents(spark, texts).where("false")).count() == 0
 
 
-def test_equal_windows_have_equal_anchors():
+def test_naming_rounds_keep_repeated_windows():
+    """Rounds with one dictionary in place of Spark's: symbols of equal windows agree, so no window that repeats drops out,
+    and texts without a repeat lose theirs."""
     rng = np.random.default_rng(5)
     from lontar.llm.common import mix
 
-    for _ in range(25):
+    for _ in range(40):
         vocabulary = mix(np.arange(1, rng.integers(3, 300), dtype=np.uint64))
         base = rng.choice(vocabulary, 200)
         parts = [np.concatenate([rng.choice(vocabulary, rng.integers(0, 90)), base[(a := rng.integers(0, 160)) : a + rng.integers(30, 150)], rng.choice(vocabulary[:2], rng.integers(0, 50))]) for _ in range(5)]
         w, first = np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
-        of = {s: int(k) for a, b, k in zip(*substrings.anchors(w, first)) for s in range(a, b + 1)}
-        seen = defaultdict(set)
+        parse = substrings.Parse(w, first)
+        for level in range(substrings.ROUNDS):
+            keys = list(zip(*(k.tolist() for k in parse.wanted()), strict=True))
+            count = Counter(keys)
+            names = {k: ((level + 1) << 58) + n + 1 for n, k in enumerate(sorted(k for k in count if count[k] > 1))}
+            parse.name(np.array([names.get(k, 0) for k in keys], np.uint64))
+            assert parse.length.sum() == len(w)
+        seen = defaultdict(list)
         for a, b in zip(first[:-1], first[1:]):
             for s in range(a, b - substrings.WINDOW + 1):
-                seen[w[s : s + substrings.WINDOW].tobytes()].add(of[s])
-        assert all(len(v) == 1 for v in seen.values())
+                seen[w[s : s + substrings.WINDOW].tobytes()].append(s)
+        assert {s for v in seen.values() if len(v) > 1 for s in v} <= set(parse.windows.tolist())
+    w = mix(np.arange(5000, dtype=np.uint64))
+    parse = substrings.Parse(w, np.array([0, 5000]))
+    for _ in range(2):
+        parse.name(np.zeros(len(parse.wanted()[0]), np.uint64))
+    assert len(parse.windows) < 50
 
 
 # ---- Near duplicates
