@@ -74,8 +74,8 @@ def words(text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """The lines of a text by the rule of ``splitlines``: a final line end makes no empty line."""
-    parts = F.split(text, LINE_END, -1)
-    return F.when(text == "", F.array().cast("array<string>")).when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    last = lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(bound(F.split(text, LINE_END, -1), last))
 
 
 def error_rate(edits: Column, reference: Column, primary: Column) -> Column:

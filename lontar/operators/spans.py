@@ -62,8 +62,7 @@ _RANGE = "array<struct<a:int,b:int>>"
 
 def parsed(content: Column) -> Column:
     """An answer without its fence if it is a JSON object, else null."""
-    bare = without_fence(F.coalesce(content, F.lit("")))
-    return F.when(F.try_parse_json(bare).isNotNull() & F.trim(bare).startswith("{"), bare)
+    return bound(without_fence(F.coalesce(content, F.lit(""))), lambda bare: F.when(F.trim(bare).startswith("{") & F.try_parse_json(bare).isNotNull(), bare))
 
 
 def answer_error(content: Column) -> Column:
@@ -74,19 +73,22 @@ def answer_error(content: Column) -> Column:
 def strict_ranges(value: Column) -> Column:
     """Line ranges of a JSON value, null if any part has an unknown form: ``[[1,2]]``, ``[1,2]``, ``[[9]]``, ``["9-10"]``
     with any dash or colon, ``["9"]``, ``[]``. The order inside a range stays."""
-    parts = F.from_json(value, "array<string>")
-    bare = F.forall(parts, lambda x: x.rlike(r"^\d+$")) & ~F.contains(value, F.lit('"'))
     form = r"^(?:\[\s*(\d+)\s*(?:,\s*(\d+)\s*)?\]|\s*(\d+)\s*(?:[-–—:]\s*(\d+)\s*)?)$"
     number = lambda x, i, j: F.coalesce(F.regexp_extract(x, form, i).try_cast("int"), F.regexp_extract(x, form, j).try_cast("int"))
-    each = F.transform(parts, lambda x: F.when(x.rlike(form), F.struct(number(x, 1, 3).alias("a"), F.coalesce(number(x, 2, 4), number(x, 1, 3)).alias("b"))))
-    flat = F.array(F.struct(F.get(parts, 0).try_cast("int").alias("a"), F.get(parts, 1).try_cast("int").alias("b")))
-    return (
-        F.when(parts.isNull() | ~F.trim(value).startswith("["), None)
-        .when(F.size(parts) == 0, F.array().cast(_RANGE))
-        .when(bare & (F.size(parts) == 2), flat)
-        .when(bare | F.exists(each, lambda x: x.isNull()), None)
-        .otherwise(each)
-    )
+
+    def read(parts: Column) -> Column:
+        bare = F.forall(parts, lambda x: x.rlike(r"^\d+$")) & ~F.contains(value, F.lit('"'))
+        each = F.transform(parts, lambda x: F.when(x.rlike(form), F.struct(number(x, 1, 3).alias("a"), F.coalesce(number(x, 2, 4), number(x, 1, 3)).alias("b"))))
+        flat = F.array(F.struct(F.get(parts, 0).try_cast("int").alias("a"), F.get(parts, 1).try_cast("int").alias("b")))
+        return (
+            F.when(parts.isNull() | ~F.trim(value).startswith("["), None)
+            .when(F.size(parts) == 0, F.array().cast(_RANGE))
+            .when(bare & (F.size(parts) == 2), flat)
+            .when(bare, None)
+            .otherwise(bound(each, lambda e: F.when(~F.exists(e, lambda x: x.isNull()), e)))
+        )
+
+    return bound(F.from_json(value, "array<string>"), read)
 
 
 def lenient_ranges(value: Column) -> Column:
@@ -110,17 +112,21 @@ def expanded(lines: Column, ranges: Column) -> Column:
     return F.filter(F.transform(ranges, lambda r: sliced(lines, r["a"], r["b"])), lambda x: strip(x) != "")
 
 
-def entry_problem(entry: Column, lines: Column) -> Column:
-    """The first fault of a section's entry, or null: it must be exactly one of ``lines``, ``text`` and ``empty: true``,
-    in range, and not blank."""
-    has = lambda k: F.get_json_object(entry, f"$.{k}").isNotNull()
+def entry_forms(entry: Column) -> Column:
+    """What an entry holds, each form read once: ``struct<lines,text,empty,ranges,texts>``."""
+    forms = F.struct(*[F.get_json_object(entry, f"$.{k}").alias(k) for k in ("lines", "text", "empty")])
+    read = lambda x: F.struct(x["lines"].alias("lines"), x["text"].alias("text"), x["empty"].alias("empty"), F.when(x["lines"].isNotNull(), strict_ranges(x["lines"])).alias("ranges"), F.from_json(x["text"], "array<string>").alias("texts"))
+    return bound(forms, read)
+
+
+def forms_problem(x: Column, lines: Column) -> Column:
+    """The first fault of what ``entry_forms`` has read, or null."""
+    has = lambda k: x[k].isNotNull()
     n = sum((F.when(has(k), 1).otherwise(0) for k in ("text", "empty")), F.when(has("lines"), 1).otherwise(0))
-    ranges = strict_ranges(F.get_json_object(entry, "$.lines"))
-    texts = F.from_json(F.get_json_object(entry, "$.text"), "array<string>")
+    ranges, texts = x["ranges"], x["texts"]
     return (
-        F.when(entry.isNull(), "missing")
-        .when(n != 1, "not exactly one form")
-        .when(has("empty") & (F.get_json_object(entry, "$.empty") != "true"), "empty is not true")
+        F.when(n != 1, "not exactly one form")
+        .when(has("empty") & (x["empty"] != "true"), "empty is not true")
         .when(has("lines") & ranges.isNull(), "unknown range form")
         .when(has("lines") & F.exists(ranges, lambda r: (r["a"] < 1) | (r["b"] < r["a"]) | (r["b"] > F.size(lines))), "range out of bounds")
         .when(has("lines") & F.exists(ranges, lambda r: strip(sliced(lines, r["a"], r["b"])) == ""), "blank slice")
@@ -128,13 +134,21 @@ def entry_problem(entry: Column, lines: Column) -> Column:
     )
 
 
+def entry_problem(entry: Column, lines: Column) -> Column:
+    """The first fault of a section's entry, or null: it must be exactly one of ``lines``, ``text`` and ``empty: true``,
+    in range, and not blank."""
+    return F.when(entry.isNull(), "missing").otherwise(bound(entry_forms(entry), lambda x: forms_problem(x, lines)))
+
+
+def forms_spans(x: Column, lines: Column, text: Column) -> Column:
+    """The excerpts of what ``entry_forms`` has read."""
+    literal = F.filter(F.transform(x["texts"], lambda t: aligned(text, t)), lambda t: t.isNotNull())
+    return F.when(x["ranges"].isNotNull(), expanded(lines, x["ranges"])).when(x["texts"].isNotNull(), literal).otherwise(F.array().cast("array<string>"))
+
+
 def entry_spans(entry: Column, lines: Column, text: Column) -> Column:
     """The excerpts that an entry stands for; literals that are not in the source are dropped."""
-    ranges = strict_ranges(F.get_json_object(entry, "$.lines"))
-    texts = F.from_json(F.get_json_object(entry, "$.text"), "array<string>")
-    none = F.array().cast("array<string>")
-    literal = F.filter(F.transform(texts, lambda x: aligned(text, x)), lambda x: x.isNotNull())
-    return F.when(ranges.isNotNull(), expanded(lines, ranges)).when(texts.isNotNull(), literal).otherwise(none)
+    return bound(entry_forms(entry), lambda x: forms_spans(x, lines, text))
 
 
 def literal_spans(entry: Column, text: Column) -> Column:
@@ -255,35 +269,41 @@ def whole_answer(content: Column, text: Column) -> Column:
     checked as one. Otherwise it needs a ``sections`` object of exactly these keys; an entry is coerced to empty if its
     ``lines`` or ``text`` is an empty list; the first fault by the order of the keys stands for all."""
     json_map, spans_map = "map<string,string>", "map<string,array<string>>"
-    body = parsed(content)
-    inner = F.get_json_object(body, "$.sections")
-    facts = F.struct(body.alias("body"), F.from_json(body, json_map).alias("top"), F.when(F.trim(inner).startswith("{"), F.from_json(inner, json_map)).alias("sections"), lines_of(text).alias("lines"), text.alias("text"))
-    hollow = lambda e: (F.get_json_object(e, "$.lines") == "[]") | (F.get_json_object(e, "$.text") == "[]")
-
-    def entry(x: Column, k: Column) -> Column:
-        return F.try_element_at(x["sections"], k)
-
-    def problem(x: Column, k: Column) -> Column:
-        e = entry(x, k)
-        return F.when(~F.coalesce(F.trim(e).startswith("{"), F.lit(False)), "not an object").when(F.coalesce(hollow(e), F.lit(False)), F.lit(None)).otherwise(entry_problem(e, x["lines"]))
-
-    def excerpts(x: Column, k: Column) -> Column:
-        e = entry(x, k)
-        return F.when(F.coalesce(hollow(e), F.lit(False)), _none()).otherwise(entry_spans(e, x["lines"], x["text"]))
-
-    def read(x: Column) -> Column:
-        keys = lambda m: F.array_sort(F.map_keys(m))
-        same = lambda m: keys(m) == F.array_sort(_wanted())
-        flat = F.from_json(x["body"], spans_map)
-        record = F.struct(F.get(record_problems(flat, x["text"]), F.lit(0)).alias("error"), flat.alias("sections"))
-        bad = F.get(F.filter(F.transform(_wanted(), lambda k: F.concat(k, F.lit(": "), problem(x, k))), lambda p: p.isNotNull()), F.lit(0))
-        made = F.map_from_arrays(_wanted(), F.transform(_wanted(), lambda k: excerpts(x, k)))
-        error = F.when(x["sections"].isNull(), "no sections object").when(~same(x["sections"]), "wrong section keys").otherwise(bad)
-        spans = F.struct(error.alias("error"), F.when(error.isNull(), made).alias("sections"))
-        broken = F.struct(answer_error(content).alias("error"), F.lit(None).cast(spans_map).alias("sections"))
-        return F.when(x["body"].isNull(), broken).when(same(x["top"]), record).otherwise(spans)
-
-    return bound(facts, read)
+    keys = lambda m: F.array_sort(F.map_keys(m))
+    same = lambda m: keys(m) == F.array(*[F.lit(k) for k in sorted(SECTIONS)])
+
+    def item(e: Column, k: Column) -> Column:
+        return F.struct(k.alias("k"), F.coalesce(F.trim(e).startswith("{"), F.lit(False)).alias("object"), entry_forms(e).alias("forms"))
+
+    def hollow(f: Column) -> Column:
+        return F.coalesce((f["lines"] == "[]") | (f["text"] == "[]"), F.lit(False))
+
+    def entries(sections: Column, lines: Column, source: Column) -> Column:
+        items = F.transform(_wanted(), lambda k: bound(F.try_element_at(sections, k), lambda e: item(e, k)))
+        problem = lambda i: F.when(~i["object"], "not an object").when(hollow(i["forms"]), F.lit(None)).otherwise(forms_problem(i["forms"], lines))
+        excerpts = lambda i: F.when(hollow(i["forms"]), _none()).otherwise(forms_spans(i["forms"], lines, source))
+
+        def read(x: Column) -> Column:
+            bad = F.get(F.filter(F.transform(x, lambda i: F.concat(i["k"], F.lit(": "), problem(i))), lambda p: p.isNotNull()), F.lit(0))
+            return bound(bad, lambda b: F.struct(b.alias("error"), F.when(b.isNull(), F.map_from_arrays(_wanted(), F.transform(x, excerpts))).alias("sections")))
+
+        return bound(items, read)
+
+    def failed(error) -> Column:
+        return F.struct(error.alias("error"), F.lit(None).cast(spans_map).alias("sections"))
+
+    def spans(sections: Column, source: Column) -> Column:
+        faults = F.when(sections.isNull(), failed(F.lit("no sections object"))).when(~same(sections), failed(F.lit("wrong section keys")))
+        return faults.otherwise(bound(lines_of(source), lambda rows: entries(sections, rows, source)))
+
+    def read(body: Column, answer: Column) -> Column:
+        flat = lambda m: F.struct(F.get(record_problems(m, text), F.lit(0)).alias("error"), m.alias("sections"))
+        inner = bound(F.get_json_object(body, "$.sections"), lambda s: F.when(F.trim(s).startswith("{"), F.from_json(s, json_map)))
+        parts = bound(inner, lambda sections: spans(sections, text))
+        record = bound(F.from_json(body, spans_map), flat)
+        return F.when(body.isNull(), failed(answer_error(answer))).when(same(F.from_json(body, json_map)), record).otherwise(parts)
+
+    return bound(content, lambda answer: bound(parsed(answer), lambda body: read(body, answer)))
 
 
 def normalized(body: Column) -> Column:

@@ -71,9 +71,8 @@ f AS (SELECT *, (length(text) + j) % 6 AS f, (length(text) + j) % 3 + 1 AS a, (l
 
 def _answer() -> Column:
     """An answer whose entries take all forms, by the length of the document; some leave a section out."""
-    rows, i = F.split("text", "\n", -1), F.length("text")
 
-    def entry(j: int) -> Column:
+    def entry(j: int, rows: Column, i: Column) -> Column:
         a = (i + j) % 3 + 1
         literal = F.get(rows, (i + j) % F.size(rows))
         ranges = F.concat(F.lit('{"lines":[['), a.cast("string"), F.lit(","), (a + j % 2).cast("string"), F.lit("]]}"))
@@ -81,7 +80,9 @@ def _answer() -> Column:
         whole = F.concat(F.lit(f'"{spans.SECTIONS[j]}":'), body)
         return F.when(i % 11 != 0, whole) if j == 5 else whole
 
-    return F.concat(F.lit('```json\n{"sections":{'), F.concat_ws(",", *[entry(j) for j in range(31)]), F.lit("}}\n```"))
+    text = F.struct(F.split("text", "\n", -1).alias("rows"), F.length("text").alias("i"))
+    body = T.bound(text, lambda x: F.concat_ws(",", *[entry(j, x["rows"], x["i"]) for j in range(31)]))
+    return F.concat(F.lit('```json\n{"sections":{'), body, F.lit("}}\n```"))
 
 
 @query(
@@ -92,9 +93,9 @@ SELECT doc_id, CASE WHEN n < 31 THEN 'wrong section keys' ELSE bad END AS error,
 )
 def whole_answers(spark: SparkSession, folder: str) -> DataFrame:
     """Answers read over all 31 sections: the first fault, or how many sections have excerpts."""
-    rows = table(spark, folder, "documents").where("text is not null").select("doc_id", spans.whole_answer(_answer(), F.col("text")).alias("r"))
-    filled = F.size(F.filter(F.map_values("r.sections"), lambda x: F.size(x) > 0))
-    return rows.select("doc_id", "r.error", F.when(F.col("r.error").isNull(), filled).alias("filled"))
+    rows = table(spark, folder, "documents").where("text is not null").select("doc_id", F.inline(F.array(spans.whole_answer(_answer(), F.col("text")))))
+    filled = F.size(F.filter(F.map_values("sections"), lambda x: F.size(x) > 0))
+    return rows.select("doc_id", "error", F.when(F.col("error").isNull(), filled).alias("filled"))
 
 
 @query(

@@ -471,3 +471,19 @@ def test_names_with_escapes(spark):
 def test_rewards(spark):
     r = one(spark, a=rewards.answer(F.lit("42"), F.lit("42")), b=rewards.answer(F.lit(None).cast("string"), F.lit("1")), c=rewards.number(F.lit("x"), F.lit("1")), d=rewards.language(F.lit("und"), "id"), e=rewards.extractive(F.lit(False), F.lit(0), F.lit(0), F.lit(1.0), F.lit(1.0), F.lit(True), F.lit(0.0), True))
     assert (r.a, r.b, r.c, r.d, r.e) == (5.0, -2.0, -2.5, -5.0, 0.0)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_whole_answers_read_answer_and_text_once(spark):
+    """What a row computes must not grow with the places that name it: the answer is read once, the text split once."""
+    df = spark.createDataFrame([("x", "y")], "content string, source string")
+    r = df.select(F.inline(F.array(spans.whole_answer(F.col("content"), F.col("source")))))
+    plan = _plan(r)
+    assert plan.count("array(content#") == 1 and plan.count("split(source#") == 1 and plan.count("try_parse_json") + plan.count("parseJson") <= 2
+    from lontar.plans import catalog
+
+    plan = _plan(catalog.queries()["whole_answers"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("split(text#") == 2  # for the made answer, and for its lines
