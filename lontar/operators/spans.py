@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.functions.text import aligned, bound, sliced, snapped, strip, without_fence
+from lontar.functions.text import SPACE, aligned, bound, sliced, snapped, strip, without_fence
 from lontar.functions.text import lines as lines_of
-from lontar.operators.clean import block_from, first_line, line_block
 
 # The closed list of section keys, in their order.
 SECTIONS = (
@@ -218,25 +219,108 @@ def closing(text: Column) -> dict[str, Column]:
     return {"hari": got(formula, 1), "tanggal": F.coalesce(long, got(dated, 1)), "tahun": F.coalesce(year(got(formula, 2)), year(got(dated, 1)))}
 
 
-def rewound(rows: Column, at: Column) -> Column:
-    """``at``, or the nearest of the two lines before it that opens a consideration, if it opens none itself."""
-    opens = lambda i: (i >= 0) & F.coalesce(F.get(rows, i).rlike(CONSIDERING), F.lit(False))
-    return bound(at, lambda i: F.when(opens(i), i).when(opens(i - 1), i - 1).when(opens(i - 2), i - 2).otherwise(i))
+RULING_STOP = (r"(?i)^Demikianlah\b",)
+_DIVERSION_WORD = r"(?i)\bKesepakatan\b"
+#: What a line is looked through for, each pattern once: the place of a pattern is its bit in the line's marks.
+PATTERNS = tuple(dict.fromkeys([*(p for start, stops in BLOCKS.values() for p in (start, *stops)), CONSIDERING, *RULING, *RULING_STOP, _DIVERSION_WORD]))
+#: Up to so many different lines, of which half or more are repeats, are looked through once each.
+_MOST_LINES = 256
+
+
+def needed_words(pattern: str) -> tuple[str, ...]:
+    """Words of which a line that matches ``pattern`` holds at least one, in lower case: the longest run of letters of each
+    alternative, outside its groups. None if an alternative has no such run."""
+    flat = re.sub(r"\\.", " ", re.sub(r"\((?:[^()]|\([^()]*\))*\)[?*+]?", " ", pattern))
+    runs = [re.findall(r"[A-Za-z]{3,}(?![A-Za-z?*{])", x) for x in flat.split("|")]
+    return tuple(sorted({max(r, key=len).lower() for r in runs})) if all(runs) else ()
+
+
+def _bits(*patterns: str) -> Column:
+    return F.lit(sum(1 << PATTERNS.index(p) for p in dict.fromkeys(patterns))).cast("long")
+
+
+def line_marks(line: Column) -> Column:
+    """Which of ``PATTERNS`` a line matches, one bit for each. A pattern is tried only where one of its words is there."""
+    zero = F.lit(0).cast("long")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in PATTERNS:
+        groups.setdefault(needed_words(p), []).append(p)
+
+    def marks(low: Column) -> Column:
+        out = zero
+        for words, patterns in groups.items():
+            part = sum((F.when(line.rlike(p), _bits(p)).otherwise(zero) for p in patterns), zero)
+            there = F.lit(False)
+            for w in words:
+                there = there | F.contains(low, F.lit(w))
+            out = out + (F.when(there, part).otherwise(zero) if words else part)
+        return out
+
+    return bound(F.lower(line), marks)
+
+
+def marks_of(rows: Column, unique: Column) -> Column:
+    """``line_marks`` of each line, ``unique`` being the different ones. Lines that repeat are looked through once."""
+
+    def marks(keys: Column) -> Column:
+        each = F.transform(keys, line_marks)
+        return bound(each, lambda m: F.when(F.size(m) == F.size(rows), m).otherwise(F.transform(rows, lambda x: F.get(m, F.array_position(keys, x).cast("int") - 1))))
+
+    few = (F.size(unique) <= _MOST_LINES) & (2 * F.size(unique) <= F.size(rows))
+    return bound(F.when(few, unique).otherwise(rows), marks)
+
+
+def blocks_of(text: Column) -> Column:
+    """The sections that run from a start line to a stop line, as a struct of ``BLOCKS`` and ``amar_putusan``; null where
+    none is found. Lines are looked through once for all patterns."""
+    ends = "[\r\x0b\x0c\x1c-\x1e\x85]"  # rare beside the line feed, and so looked for in different lines only
+    parts = lambda rows, unique: F.struct(rows.alias("rows"), unique.alias("unique"))
+    simple = bound(F.split(text, "\n", -1), lambda r: parts(r, F.array_distinct(r)))
+    finer = bound(F.split(text, "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85]", -1), lambda r: parts(r, F.array_distinct(r)))
+    split = bound(simple, lambda x: F.when(F.exists(x["unique"], lambda line: line.rlike(ends)), finer).otherwise(x))
+    inner = rf"(?s)^{SPACE}*+(.*{SPACE.replace('[', '[^')})"  # a text without white space at its edges, in one match
+
+    def read(rows: Column, marks: Column, hits: Column) -> Column:
+        has = lambda m, *patterns: m.bitwiseAND(_bits(*patterns)) != 0
+        first = lambda p: F.get(F.filter(hits, lambda h: has(h["marks"], p)), F.lit(0))["at"]
+        opens = lambda i: F.coalesce(has(F.get(marks, i), CONSIDERING), F.lit(False))
+
+        def edged(a: Column, b: Column) -> Column:
+            return F.left(a, F.lit(1)).rlike(SPACE) | (b == "") | F.right(b, F.lit(1)).rlike(SPACE)
+
+        def lines(at: Column, stop: Column) -> Column:
+            joined = F.array_join(F.slice(rows, at + 1, stop - at), "\n")
+            return F.when(edged(F.get(rows, at), F.get(rows, stop - 1)), F.regexp_extract(joined, inner, 1)).otherwise(joined)
+
+        def block(at: Column, stops: tuple[str, ...]) -> Column:
+            stop = lambda a: F.coalesce(F.get(F.filter(hits, lambda h: (h["at"] > a) & has(h["marks"], *stops)), F.lit(0))["at"], F.size(rows))
+            found = lambda a: F.when(a.isNotNull(), F.get(F.filter(F.array(bound(stop(a), lambda b: lines(a, b))), lambda x: x != ""), F.lit(0)))
+            return bound(at, found)
+
+        at = {k: first(start) for k, (start, _) in BLOCKS.items()}
+        at["dakwaan"] = bound(at["dakwaan"], lambda i: F.when(opens(i), i).when(opens(i - 1), i - 1).when(opens(i - 2), i - 2).otherwise(i))  # the consideration that it stands in
+        diverted = F.exists(hits, lambda h: has(h["marks"], _DIVERSION_WORD)) & text.rlike(DIVERSION)
+        at["pertimbangan_hukum"] = F.coalesce(at["pertimbangan_hukum"], F.when(diverted, first(CONSIDERING)))
+        out = [block(at[k], stops).alias(k) for k, (_, stops) in BLOCKS.items()]
+        opened = has(F.get(marks, F.lit(0)), RULING[0])  # a ruling in the very first line does not count
+        ruled = F.when(opened, block(first(RULING[1]), RULING_STOP)).otherwise(F.coalesce(*[block(first(p), RULING_STOP) for p in RULING]))
+        return F.struct(*out, ruled.alias("amar_putusan"))
+
+    def marked(rows: Column, marks: Column) -> Column:
+        hits = F.filter(F.transform(marks, lambda m, i: F.struct(i.alias("at"), m.alias("marks"))), lambda h: h["marks"] != 0)
+        return bound(hits, lambda h: read(rows, marks, h))
+
+    return bound(split, lambda x: bound(marks_of(x["rows"], x["unique"]), lambda marks: marked(x["rows"], marks)))
+
+
+def _repairs(text: Column, blocks: Column) -> dict[str, Column]:
+    out = {k: F.nullif(strip(F.regexp_extract(text, p, 1)), F.lit("")) for k, p in LINES.items()}
+    return out | {k: blocks[k] for k in (*BLOCKS, "amar_putusan")} | closing(text)
 
 
 def repaired(text: Column) -> dict[str, Column]:
     """What the anchor rules find for sections that are empty, one column for each rule; null where nothing is found."""
-    rows = F.split(text, "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85]", -1)
-    out = {k: F.nullif(strip(F.regexp_extract(text, p, 1)), F.lit("")) for k, p in LINES.items()}
-    out |= {k: line_block(rows, start, stops) for k, (start, stops) in BLOCKS.items()}
-    start, stops = BLOCKS["dakwaan"]
-    out["dakwaan"] = block_from(rows, rewound(rows, first_line(rows, start)), stops)
-    start, stops = BLOCKS["pertimbangan_hukum"]
-    out["pertimbangan_hukum"] = block_from(rows, F.coalesce(first_line(rows, start), F.when(text.rlike(DIVERSION), first_line(rows, CONSIDERING))), stops)
-    by_first, by_second = (line_block(rows, p, (r"(?i)^Demikianlah\b",)) for p in RULING)
-    opens = F.get(rows, 0).rlike(RULING[0])  # a ruling in the very first line does not count
-    out["amar_putusan"] = F.when(opens, by_second).otherwise(F.coalesce(by_first, by_second))
-    return out | closing(text)
+    return _repairs(text, blocks_of(text))
 
 
 def _none() -> Column:
@@ -253,9 +337,12 @@ def spans_of(sections: Column, key: str) -> Column:
 
 def filled_in(sections: Column, text: Column) -> Column:
     """A record's sections with what the anchor rules find for the empty ones; others stay as they are."""
-    found = repaired(text)
-    one = lambda k: F.when((F.size(spans_of(sections, k)) == 0) & found[k].isNotNull(), F.array(found[k])).otherwise(spans_of(sections, k)) if k in found else spans_of(sections, k)
-    return F.map_from_arrays(_wanted(), F.array(*[one(k) for k in SECTIONS]))
+
+    def filled(found: dict[str, Column]) -> Column:
+        one = lambda k: F.when((F.size(spans_of(sections, k)) == 0) & found[k].isNotNull(), F.array(found[k])).otherwise(spans_of(sections, k)) if k in found else spans_of(sections, k)
+        return F.map_from_arrays(_wanted(), F.array(*[one(k) for k in SECTIONS]))
+
+    return bound(blocks_of(text), lambda blocks: filled(_repairs(text, blocks)))
 
 
 def empty_sections(sections: Column, blank_too: bool = False) -> Column:

@@ -26,9 +26,9 @@ MARKS = (
 
 def _decision() -> Column:
     """Two lines of the document after each mark; which marks are there goes by its length."""
-    rows, i = F.split("text", "\n", -1), F.length("text")
-    line = lambda k: F.get(rows, (i + k) % F.size(rows))
-    return F.concat_ws("\n", *[c for k, m in enumerate(MARKS) for c in (F.when((i + k) % 3 != 0, m), line(k), line(k + 5))])
+    line = lambda x, k: F.get(x["rows"], (x["i"] + k) % F.size(x["rows"]))
+    parts = lambda x: [c for k, m in enumerate(MARKS) for c in (F.when((x["i"] + k) % 3 != 0, m), line(x, k), line(x, k + 5))]
+    return T.bound(F.struct(F.split("text", "\n", -1).alias("rows"), F.length("text").alias("i")), lambda x: F.concat_ws("\n", *parts(x)))
 
 
 _DECISION = " || chr(10) || ".join(f"CASE WHEN (length(text) + {k}) % 3 <> 0 THEN '{m}' || chr(10) ELSE '' END || rs[(length(text) + {k}) % len(rs) + 1] || chr(10) || rs[(length(text) + {k + 5}) % len(rs) + 1]" for k, m in enumerate(MARKS))
@@ -57,10 +57,10 @@ SELECT doc_id, section, block FROM b WHERE block <> ''"""
 @query(_repair_sql())
 def repair_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The sections that anchor rules cut out of decisions, by start and stop lines."""
-    rows = table(spark, folder, "documents").where("text is not null").select("doc_id", _decision().alias("t"))
-    found = spans.repaired(F.col("t"))
-    each = F.array(*[F.struct(F.lit(k).alias("section"), found[k].alias("block")) for k in spans.BLOCKS])
-    return rows.select("doc_id", F.inline(F.filter(each, lambda x: x["block"].isNotNull())))
+    rows = table(spark, folder, "documents").where("text is not null")
+    each = lambda found: F.array(*[F.struct(F.lit(k).alias("section"), found[k].alias("block")) for k in spans.BLOCKS])
+    found = T.bound(_decision(), lambda t: T.bound(spans.blocks_of(t), each))
+    return rows.select("doc_id", F.inline(F.filter(found, lambda x: x["block"].isNotNull())))
 
 
 # ---- Answers over all sections

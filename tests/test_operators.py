@@ -487,3 +487,31 @@ def test_whole_answers_read_answer_and_text_once(spark):
 
     plan = _plan(catalog.queries()["whole_answers"](spark, "/root/testdata/sf0.001"))
     assert plan.count("split(text#") == 2  # for the made answer, and for its lines
+
+
+def test_blocks_look_through_lines_once(spark):
+    """Sections come from one split of the text, each pattern stands once in the plan, and what is found is what looking
+    line by line finds, with repeated lines, other line ends, and white space at the edges."""
+    import random
+
+    from lontar.operators import clean
+    from lontar.plans import catalog, datasets
+
+    found = spark.createDataFrame([("x",)], "source string").select(spans.blocks_of(F.col("source")).alias("b"))
+    plan = _plan(found)
+    assert plan.count("split(source#") == 2 and plan.count("akan\\s+mempertimbangkan") == 1  # by line feeds, else by all line ends
+    plan = _plan(catalog.queries()["repair_blocks"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("split(text#") == 1 and plan.count("akan\\s+mempertimbangkan") == 1
+    rng = random.Random(7)
+    lines = [*datasets.MARKS, "", "  ", "x", " y\t", " ", "SURAT KETERANGAN", "menimbang", "PEMBACAAN  TUNTUTAN", "bukti surat", "ditahan", "İ ahli", "menetapkan", "Hakim", "\x1cz\x1f", "surat-surat lain", "menghadirkan dua Saksi"]
+    texts = [rng.choice("\n\n\n\r\x0b").join(rng.choices(lines, k=rng.choice((1, 5, 40, 90)))) for _ in range(150)]
+    texts += ["", "\n", "ahli", "\n".join(f"{i} ahli " for i in range(600)), "\n".join(f"{i % 300} surat {i % 300}" for i in range(700)), "\r\n".join(lines * 3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, s string").withColumn("rows", F.split("s", "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85]", -1))
+    plain = {k: clean.line_block(F.col("rows"), *spans.BLOCKS[k]) for k in spans.BLOCKS if k not in ("dakwaan", "pertimbangan_hukum")}
+    got = df.select("i", spans.blocks_of(F.col("s")).alias("b")).select("i", *[F.col(f"b.{k}") for k in plain]).orderBy("i").collect()
+    assert got == df.select("i", *[c.alias(k) for k, c in plain.items()]).orderBy("i").collect()
+    assert sum(v is not None for r in got for v in r) > 800
+    each = spark.createDataFrame([(x,) for x in lines], "x string")
+    bits = each.select(spans.line_marks(F.col("x")).alias("m"), *[F.col("x").rlike(p).alias(f"p{i}") for i, p in enumerate(spans.PATTERNS)]).collect()
+    assert all(r.m >> i & 1 == r[i + 1] for r in bits for i in range(len(spans.PATTERNS)))
+    assert spans.needed_words(r"(?i)\bab(?:cd|ef)\s+Long[a]?|other") == ("long", "other") and spans.needed_words(r"x\s*y|word") == ()
