@@ -515,3 +515,8 @@ def test_blocks_look_through_lines_once(spark):
     bits = each.select(spans.line_marks(F.col("x")).alias("m"), *[F.col("x").rlike(p).alias(f"p{i}") for i, p in enumerate(spans.PATTERNS)]).collect()
     assert all(r.m >> i & 1 == r[i + 1] for r in bits for i in range(len(spans.PATTERNS)))
     assert spans.needed_words(r"(?i)\bab(?:cd|ef)\s+Long[a]?|other") == ("long", "other") and spans.needed_words(r"x\s*y|word") == ()
+
+
+def test_page_titles_decode_quotes(spark):
+    r = one(spark, a=html.title(F.lit("<h1>token = &quot;ab&quot; &amp;lt; c</h1>")), b=html.title(F.lit('<h1>a "b" \\ c</h1>')))
+    assert (r.a, r.b) == ('token = "ab" &lt; c', 'a "b" \\ c')
